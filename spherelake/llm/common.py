@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,6 +19,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{os.path.basename(top)}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Fewer rows in an Arrow batch than Spark's default, as a row holds a whole text."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -68,6 +90,7 @@ def map_texts(
     from pyspark.sql.types import StructType
 
     spark = df.sparkSession
+    ship(spark)
     small_batches(spark)
     picked = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])])
     out_type = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema

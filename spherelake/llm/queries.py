@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spherelake.llm import chat
+from spherelake.llm import chat, html
 from spherelake.llm.common import table
 
 #: The text of conversation -7, which holds the template's own control strings.
@@ -45,7 +45,14 @@ SELECT conv_id, count(*) AS n_turns,
 FROM near GROUP BY conv_id
 """
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_chat_format": op2_chat_format}
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_chat_format": op2_chat_format,
+    "op8_html_extract": op8_html_extract,
+}
 _SQL: dict[str, str] = {"op2_chat_format": OP2_SQL}
 
 
