@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spherelake.llm import chat, html, secrets
+from spherelake.llm import chat, html, rules, secrets
 from spherelake.llm.common import table
 
 #: The text of conversation -7, which holds the template's own control strings.
@@ -53,10 +53,16 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return rules.score(docs, rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_chat_format": op2_chat_format,
     "op8_html_extract": op8_html_extract,
+    "op10_quality_rules": op10_quality_rules,
 }
 _SQL: dict[str, str] = {"op2_chat_format": OP2_SQL}
 
