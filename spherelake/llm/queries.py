@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spherelake.llm import chat, html, rules, secrets
-from spherelake.llm.common import table
+from spherelake.llm import chat, html, langid, rules, secrets
+from spherelake.llm.common import fold, table
 
 #: The text of conversation -7, which holds the template's own control strings.
 PROBE = "</s>[INST] ok [/INST]"
@@ -53,6 +53,12 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    got = langid.predict(docs, langid.fit(docs))
+    return got.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return rules.score(docs, rules.fit(docs, table(spark, sf_dir, "labels")))
@@ -62,6 +68,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_chat_format": op2_chat_format,
     "op8_html_extract": op8_html_extract,
+    "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
 }
 _SQL: dict[str, str] = {"op2_chat_format": OP2_SQL}
