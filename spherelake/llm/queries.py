@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spherelake.llm import chat, html, langid, rules, secrets
+from spherelake.llm import chat, html, langid, quality, rules, secrets
 from spherelake.llm.common import fold, table
 
 #: The text of conversation -7, which holds the template's own control strings.
@@ -49,6 +49,12 @@ SELECT conv_id, count(*) AS n_turns,
 FROM near GROUP BY conv_id
 """
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    got = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return got.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
 def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -67,6 +73,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_chat_format": op2_chat_format,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_html_extract": op8_html_extract,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
