@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spherelake.llm import chat, html, langid, quality, rules, secrets
+from spherelake.llm import chat, html, langid, pieces, quality, rules, secrets
 from spherelake.llm.common import fold, table
 
 #: The text of conversation -7, which holds the template's own control strings.
@@ -49,6 +49,21 @@ SELECT conv_id, count(*) AS n_turns,
 FROM near GROUP BY conv_id
 """
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.Pieces.load()
+    made = pieces.encode(table(spark, sf_dir, "documents"), model, keep=("doc_id", "text"), n=2)
+    back = pieces.decode(made, model)
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.get("scores", F.lit(0)).alias("score"),
+        F.get("scores", F.lit(1)).alias("second_score"),
+        F.xxhash64("ids").alias("ids_hash"),
+        F.xxhash64(F.get("others", F.lit(0))).alias("second_hash"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     got = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -73,6 +88,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_chat_format": op2_chat_format,
+    "op3_sentencepiece": op3_sentencepiece,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_html_extract": op8_html_extract,
     "op9_language_id": op9_language_id,
