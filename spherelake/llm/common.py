@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 #: Texts are handled in blocks of so many characters, which bounds the arrays made from them.
 BLOCK_CHARS = 1_000_000
+ROW = "\0row"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,10 +83,12 @@ def map_texts(
     schema: str,
     make: Callable[[], Callable[[list[str]], dict[str, object]]],
 ) -> DataFrame:
-    """Run a function over blocks of texts in Arrow batches, one output row for each input row.
+    """Run a function over blocks of texts in Arrow batches.
 
     ``make()`` is called once a task and returns the function, which takes a list of
-    texts (null: empty) and returns columns.  ``schema`` names ``keep``, then those columns.
+    texts (null: empty) and returns columns with a value for each text.  If one of them
+    is named ``ROW``, it says which text each value belongs to, and there may be any
+    number of values.  ``schema`` names ``keep``, then those columns.
     """
     from pyspark.sql.types import StructType
 
@@ -104,12 +107,14 @@ def map_texts(
             for a, b in blocks(texts):
                 made = work([t or "" for t in texts[a:b]])
                 columns = []
+                rows = made.pop(ROW, None)
                 for field in arrow:
                     if field.name in made:
                         x = made[field.name]
                         columns.append(x.cast(field.type) if isinstance(x, pa.Array) else pa.array(x, field.type, from_pandas=False))
                     else:
-                        columns.append(batch.column(field.name).slice(a, b - a).cast(field.type))
+                        kept = batch.column(field.name).slice(a, b - a).cast(field.type)
+                        columns.append(kept if rows is None else kept.take(pa.array(rows, pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     return picked.mapInArrow(run, out_type)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spherelake.llm import chat, html, langid, pieces, quality, rules, secrets
+from spherelake.llm import chat, decontaminate, html, langid, lines, pieces, quality, rules, secrets
 from spherelake.llm.common import fold, table
 
 #: The text of conversation -7, which holds the template's own control strings.
@@ -64,6 +64,33 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+#: Chunk borders by the same rolling hash; groups of equal chunk texts; all but the first go.
+OP5_SQL = r"""
+WITH d AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS hv FROM l),
+r AS (SELECT *, (31 * hv + coalesce(lag(hv) OVER w, 0)) % 3 = 0 AS ends FROM h WINDOW w AS (PARTITION BY doc_id, text ORDER BY i)),
+c AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id, text ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM r),
+k AS (SELECT doc_id, text, chunk, min(i) AS place, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY doc_id, text, chunk),
+f AS (SELECT doc_id, text, chunk, n >= 2 AND row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS FIRST, text, place) > 1 AS gone FROM k),
+j AS (
+    SELECT c.doc_id, c.text, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+        coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS kept
+    FROM c JOIN f ON c.doc_id IS NOT DISTINCT FROM f.doc_id AND c.text = f.text AND c.chunk = f.chunk GROUP BY c.doc_id, c.text
+)
+SELECT o.doc_id, kept AS text, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed
+FROM documents o LEFT JOIN j ON o.doc_id IS NOT DISTINCT FROM j.doc_id AND o.text = j.text
+"""
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     got = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -89,12 +116,14 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_chat_format": op2_chat_format,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_line_dedup": op5_line_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_html_extract": op8_html_extract,
     "op9_language_id": op9_language_id,
     "op10_quality_rules": op10_quality_rules,
 }
-_SQL: dict[str, str] = {"op2_chat_format": OP2_SQL}
+_SQL: dict[str, str] = {"op2_chat_format": OP2_SQL, "op5_line_dedup": OP5_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
