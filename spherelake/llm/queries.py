@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spherelake.llm import chat, decontaminate, html, langid, lines, pieces, quality, rules, secrets
+from spherelake.llm import chat, decontaminate, html, jaccard, langid, lines, pieces, quality, rules, secrets
 from spherelake.llm.common import fold, table
 
 #: The text of conversation -7, which holds the template's own control strings.
@@ -91,6 +91,10 @@ FROM documents o LEFT JOIN j ON o.doc_id IS NOT DISTINCT FROM j.doc_id AND o.tex
 """
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     got = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -118,6 +122,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_decontaminate": op4_decontaminate,
     "op5_line_dedup": op5_line_dedup,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_html_extract": op8_html_extract,
     "op9_language_id": op9_language_id,
