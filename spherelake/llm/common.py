@@ -76,6 +76,14 @@ def blocks(texts: list[str | None], most: int = BLOCK_CHARS) -> Iterator[tuple[i
         yield begin, len(texts)
 
 
+def schema_with(df: DataFrame, keep: list[str] | tuple[str, ...], added: str) -> tuple[list[str], str]:
+    """The kept columns, less those whose names the added ones take, and the schema of both."""
+    taken = {part.split()[0].strip("`").lower() for part in added.split(",")}
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    kept = [c for c in keep if c.lower() not in taken]
+    return kept, ", ".join([*(f"`{c}` {types[c]}" for c in kept), added])
+
+
 def map_texts(
     df: DataFrame,
     keep: list[str],
@@ -98,7 +106,7 @@ def map_texts(
     picked = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keep, text])])
     out_type = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
     assert isinstance(out_type, StructType)
-    arrow = pa.schema([_arrow_field(f) for f in out_type.fields])
+    arrow = [_arrow_field(f) for f in out_type.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -113,9 +121,9 @@ def map_texts(
                         x = made[field.name]
                         columns.append(x.cast(field.type) if isinstance(x, pa.Array) else pa.array(x, field.type, from_pandas=False))
                     else:
-                        kept = batch.column(field.name).slice(a, b - a).cast(field.type)
+                        kept = batch.column(field.name).slice(a, b - a)
                         columns.append(kept if rows is None else kept.take(pa.array(rows, pa.int64())))
-                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in arrow])
 
     return picked.mapInArrow(run, out_type)
 

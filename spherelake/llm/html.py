@@ -23,7 +23,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
-from spherelake.llm.common import map_texts
+from spherelake.llm.common import map_texts, schema_with
 
 #: Elements whose content is no text of the page (fixed values).
 RAW = frozenset("script style noscript template svg math iframe object canvas head title textarea select option datalist audio video map".split())
@@ -333,9 +333,7 @@ def extract_pages(pages: DataFrame, html: str = "html", keep: tuple[str, ...] =
     Repeated rows each give a row, and an empty table none.  The whole html is read.
     """
     scores = (weights or default_weights()).scores
-    fields = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
-    schema = ", ".join(f"`{c}` {fields[c]}" for c in keep) + ", text string, n_chars bigint"
-
+    kept, schema = schema_with(pages, keep, "text string, n_chars bigint")
     def make():
         own = Weights(scores)
 
@@ -345,4 +343,4 @@ def extract_pages(pages: DataFrame, html: str = "html", keep: tuple[str, ...] =
 
         return work
 
-    return map_texts(pages, list(keep), html, schema, make)
+    return map_texts(pages, kept, html, schema, make)

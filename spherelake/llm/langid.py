@@ -18,12 +18,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spherelake.llm.common import blocks, fold, map_texts, ship, small_batches
+from spherelake.llm.common import ROW, blocks, fold, map_texts, schema_with, ship, small_batches
 from spherelake.llm.flat import Flat, letter_table, look, lower_table
 from spherelake.llm.hashed import char_rows, pack, unpack
 
 #: Rows of each language used for the centroids, at most; and centroids of each language.
 SAMPLE, CENTROIDS = 600, 4
+#: Languages that are learned, at most; each adds CENTROIDS rows to a model that executors hold.
+LANGUAGES = 1000
 SIZES, BITS = (1, 2, 3), 12
 #: Texts of fewer letters than these are groups with floors of their own.
 LENGTHS = (10, 20, 40, 80, 160, 320)
@@ -113,9 +115,13 @@ def fit(docs: DataFrame, most: int = SAMPLE, centroids: int = CENTROIDS) -> Mode
     if n == 0:
         return None
     idf = (np.log((1 + n) / (1 + df)) + 0.1).astype(np.float32)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    # The first ids of each language by a hash; every task keeps only as many before they meet.
-    ids = learn.select("lang", F.col("doc_id").alias("id")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select("lang", "id").distinct()
+    # The first ids of each language by a hash.  Ids whose hash is far beyond the last of them are left
+    # out beforehand, so that a language's rows that meet are a few times ``most``, however many it has.
+    count = learn.groupBy("lang").agg(F.count(F.lit(1)).alias("of"))
+    rank = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
+    likely = learn.select("lang", F.col("doc_id").alias("id"), rank.alias("h")).join(F.broadcast(count.orderBy(F.desc("of"), "lang").limit(LANGUAGES)), "lang").where(F.col("h") * F.col("of") < 3 * most)
+    order = Window.partitionBy("lang").orderBy("h", "id")
+    ids = likely.select("lang", "id", "h").distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select("lang", "id")
     texts = learn.select("lang", F.col("doc_id").alias("id"), "text").join(F.broadcast(ids), ["lang", "id"]).groupBy("lang", "id").agg(F.min("text").alias("text"))
 
     def make():
@@ -155,6 +161,24 @@ def fit(docs: DataFrame, most: int = SAMPLE, centroids: int = CENTROIDS) -> Mode
     return Model(idf, np.concatenate(rows), tuple(langs), floors)
 
 
+def classify(model: Model | None, texts: list[str]) -> tuple[list[str], list[float], list[bool]]:
+    """Languages, cosines, and whether each text is rejected."""
+    if model is None:
+        return [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
+    langs: list[str] = []
+    scores: list[float] = []
+    rejected: list[bool] = []
+    for _, _, rows, letters in counted(texts):
+        cosine = np.clip(unit(rows, model.idf) @ model.centroids.T, 0, 1).astype(float)
+        at = cosine.argmax(1)
+        best = np.where(letters > 0, cosine[np.arange(len(at)), at], 0.0)
+        floor = model.floors[np.searchsorted(LENGTHS, letters, "right")]
+        langs += [model.langs[i] if n else UNKNOWN for i, n in zip(at, letters)]
+        scores += best.tolist()
+        rejected += ((letters == 0) | (best < floor)).tolist()
+    return langs, scores, rejected
+
+
 def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
     """``keep``, ``lang_pred``, ``score`` (the cosine, 0 to 1) and ``rejected`` for every row.
 
@@ -162,24 +186,21 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_
     to the first language by name.  Without anything learned every text is ``und``.
     Repeated rows each give a row, an empty table none.
     """
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + ", lang_pred string, score double, rejected boolean"
-
+    kept, schema = schema_with(docs, keep, "lang_pred string, score double, rejected boolean")
     def make():
         def work(texts: list[str]) -> dict[str, object]:
-            if model is None:
-                return {"lang_pred": [UNKNOWN] * len(texts), "score": [0.0] * len(texts), "rejected": [True] * len(texts)}
-            langs, scores, rejected = [], [], []
-            for _, _, rows, letters in counted(texts):
-                cosine = np.clip(unit(rows, model.idf) @ model.centroids.T, 0, 1).astype(float)
-                at = cosine.argmax(1)
-                best = np.where(letters > 0, cosine[np.arange(len(at)), at], 0.0)
-                floor = model.floors[np.searchsorted(LENGTHS, letters, "right")]
-                langs += [model.langs[i] if n else UNKNOWN for i, n in zip(at, letters)]
-                scores += best.tolist()
-                rejected += ((letters == 0) | (best < floor)).tolist()
+            langs, scores, rejected = classify(model, texts)
             return {"lang_pred": langs, "score": scores, "rejected": rejected}
 
         return work
 
-    return map_texts(docs, list(keep), text, schema, make)
+    return map_texts(docs, kept, text, schema, make)
+
+
+def accepted(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text isn't rejected."""
+
+    def make():
+        return lambda texts: {ROW: [i for i, no in enumerate(classify(model, texts)[2]) if not no]}
+
+    return map_texts(docs, docs.columns, text, docs.schema, make)

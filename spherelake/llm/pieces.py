@@ -30,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from spherelake.llm.common import map_texts, ship, small_batches
+from spherelake.llm.common import map_texts, schema_with, ship, small_batches
 from spherelake.llm.flat import Flat, mix, powers
 
 MARK = "▁"
@@ -417,8 +417,7 @@ def encode(docs: DataFrame, pieces: Pieces, keep: tuple[str, ...] = ("doc_id",),
     Null and empty texts have no ids and one score, 0.  A text with fewer than n
     paths has fewer scores.  Repeated rows each give a row, an empty table none.
     """
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + ", ids array<int>, scores array<double>, others array<array<int>>"
+    kept, schema = schema_with(docs, keep, "ids array<int>, scores array<double>, others array<array<int>>")
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
 
     def make():
@@ -447,7 +446,7 @@ def encode(docs: DataFrame, pieces: Pieces, keep: tuple[str, ...] = ("doc_id",),
 
         return work
 
-    return map_texts(docs, list(keep), text, schema, make)
+    return map_texts(docs, kept, text, schema, make)
 
 
 def decode_ids(pieces: Pieces, ids: np.ndarray, offsets: np.ndarray) -> list[str]:

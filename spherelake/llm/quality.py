@@ -16,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from spherelake.llm.common import map_texts
+from spherelake.llm.common import map_texts, schema_with
 from spherelake.llm.flat import Flat, alnum_table, look, mix
 from spherelake.llm.hashed import gram_index, labelled_sample
 from spherelake.llm.secrets import platt
@@ -204,8 +204,7 @@ def score(docs: DataFrame, model: Network | float, text: str = "text", keep: tup
     Null and empty texts are one empty passage, and get a score too.  Repeated rows each
     give a row, an empty table none.
     """
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + ", score double, predicted int"
+    kept, schema = schema_with(docs, keep, "score double, predicted int")
     parameters = model.p if isinstance(model, Network) else float(model)
 
     def make():
@@ -222,4 +221,4 @@ def score(docs: DataFrame, model: Network | float, text: str = "text", keep: tup
 
         return work
 
-    return map_texts(docs, list(keep), text, schema, make)
+    return map_texts(docs, kept, text, schema, make)

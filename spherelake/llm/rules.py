@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 
-from spherelake.llm.common import map_texts
+from spherelake.llm.common import map_texts, schema_with
 from spherelake.llm.flat import Flat, counts, mix, windows
 from spherelake.llm.hashed import char_rows, fit_logistic, hellinger, labelled_sample, pack, unpack, word_rows
 from spherelake.llm.secrets import platt
@@ -126,10 +126,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
     Null texts have no words, and so fail.  Repeated rows each give a row, an empty
     table none.  Words lie between ASCII white space; counts cover the whole text.
     """
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + (
-        ", n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean, probability double"
-    )
+    kept, schema = schema_with(docs, keep, "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean, probability double")
 
     def make():
         def work(texts: list[str]) -> dict[str, object]:
@@ -142,4 +139,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ..
 
         return work
 
-    return map_texts(docs, list(keep), text, schema, make)
+    return map_texts(docs, kept, text, schema, make)

@@ -25,7 +25,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame
 
-from spherelake.llm.common import map_texts
+from spherelake.llm.common import map_texts, schema_with
 
 #: The base kinds in their listed order, their patterns and least lengths (fixed values).
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
@@ -289,9 +289,7 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     empty table none.  Spans are in code points, the end exclusive.
     """
     parameters = (network or default_network()).p
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + ", n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_model bigint"
-
+    kept, schema = schema_with(docs, keep, "n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_model bigint")
     def make() -> Callable:
         net = Network(parameters)
 
@@ -309,4 +307,4 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
 
         return work
 
-    return map_texts(docs, list(keep), text, schema, make)
+    return map_texts(docs, kept, text, schema, make)
