@@ -22,7 +22,7 @@ def gram_index(cp: np.ndarray, n: int, bits: int) -> np.ndarray:
     h = np.full(len(cp), np.uint32(n * 0x2545F491 & 0xFFFFFFFF), np.uint32)
     for j in range(n):
         part = cp[j:] * GRAM[j]
-        h[: len(cp) - j] += part
+        h[: len(part)] += part
     h ^= h >> np.uint32(15)
     h *= GRAM[3]
     return h >> np.uint32(32 - bits)

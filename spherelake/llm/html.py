@@ -304,6 +304,20 @@ def labelled_pages(n: int = 300, seed: int = 11) -> list[tuple[str, str]]:
                 h = prose(rng.randint(2, 6))
                 main.append(h)
                 body.append(f"<h2>{h}</h2>")
+            if rng.random() < 0.15:
+                listed = [prose(rng.randint(1, 12)) for _ in range(rng.randint(2, 6))]
+                main += listed
+                kind = rng.choice(["ul", "ol"])
+                close = rng.choice(["", "</li>"])
+                body.append(f"<{kind}>{''.join(f'<li>{x}{close}' for x in listed)}</{kind}>")
+            if rng.random() < 0.1:
+                quoted = prose(rng.randint(5, 30))
+                main.append(quoted)
+                body.append(rng.choice(["<blockquote><p>%s</p></blockquote>", "<blockquote>%s</blockquote>", "<pre>%s</pre>", "<figure><img src='a.png'><figcaption>%s</figcaption></figure>"]) % quoted)
+            if rng.random() < 0.1:
+                cells = [[prose(rng.randint(1, 3)) for _ in range(3)] for _ in range(rng.randint(2, 4))]
+                main += [c for r in cells for c in r]
+                body.append(f"<table>{''.join('<tr>' + ''.join(f'<td>{c}</td>' for c in r) + '</tr>' for r in cells)}</table>")
             p = prose(rng.randint(3, 120))
             main.append(p)
             words = p.split()

@@ -56,7 +56,7 @@ def candidates(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
     out, k = [], 0
     for m in CANDIDATE.finditer(text):
         a, b = m.start(), m.end()
-        while b > a and text[b - 1] in ".-=" and b - a > 16 and text[b - 1] != "=":
+        while b - a > 16 and text[b - 1] in ".-":  # the end of a sentence, not of the token
             b -= 1
         while k < len(base) and base[k][1] <= a:
             k += 1
