@@ -288,6 +288,8 @@ def cached(spark: SparkSession, root: str, points: DataFrame, meta: WeightsMeta,
     fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(hadoop):
         draft = f"{path}.draft"
-        make().write.mode("overwrite").option("spherelake", json.dumps(asdict(meta))).parquet(draft)
+        make().write.mode("overwrite").parquet(draft)
+        about = spark.createDataFrame([(json.dumps(asdict(meta)),)], "value string")
+        about.coalesce(1).write.mode("overwrite").text(f"{path}.json")
         fs.rename(jvm.org.apache.hadoop.fs.Path(draft), hadoop)
     return spark.read.parquet(path), path
