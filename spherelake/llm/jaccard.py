@@ -10,9 +10,11 @@ similarity of their sets is at least 0.8.
    samples CHILDREN coordinates by a hash of the path to it, and a set goes on to the
    child that its token in that coordinate names.  Nodes of at most SMALL sets are
    compared by brute force on their tokens; larger ones split again, at most DEPTH
-   times.  What is still large then agrees in DEPTH sampled tokens and is linked to its
-   least member.  A pair at the threshold survives a run with a probability of
-   ``survival``; ``runs_for`` gives the runs that the target recall needs.
+   times.  A large child that holds half of its parent or more is dense: its sets agree
+   on a token that was drawn by chance, so splitting doesn't part them.  Its sets, and
+   those of nodes that are still large at DEPTH, are linked to the least of them.  A
+   pair at the threshold survives a run with a probability of ``survival``;
+   ``runs_for`` gives the runs that the target recall needs.
 3. The links found make candidate groups (connected components), which only have to
    hold every true link.  Inside a group similarity is computed exactly for all pairs,
    by products of blocks of the sets' incidence matrices: groups of more than TILE sets
@@ -140,7 +142,10 @@ def _longs(column: pa.Array) -> np.ndarray:
 
 
 def _step(df: DataFrame, roots: int = 0) -> DataFrame:
-    """(path, id) of the children; from the roots of so many runs, or from column ``path``."""
+    """(path, id, of) of the children; from the roots of so many runs, or from columns path and n.
+
+    ``of`` is the number of sets at the parent, 0 for a root.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -149,12 +154,15 @@ def _step(df: DataFrame, roots: int = 0) -> DataFrame:
             tokens, ids = _tokens(b.column("sketch")), _longs(b.column("id"))
             if roots:
                 starts = [np.full(len(ids), mix(np.array([r + 1], np.uint64))[0]) for r in range(roots)]
+                of = np.zeros(len(ids), np.int64)
             else:
                 starts = [_longs(b.column("path")).view(np.uint64)]
+                of = _longs(b.column("n"))
             paths = np.concatenate([children_of(s, tokens) for s in starts], 1)
-            yield pa.RecordBatch.from_arrays([pa.array(paths.ravel().view(np.int64)), pa.array(np.repeat(ids, paths.shape[1]))], ["path", "id"])
+            each = paths.shape[1]
+            yield pa.RecordBatch.from_arrays([pa.array(paths.ravel().view(np.int64)), pa.array(np.repeat(ids, each)), pa.array(np.repeat(of, each))], ["path", "id", "of"])
 
-    return _python(df, "path bigint, id bigint", run)
+    return _python(df, "path bigint, id bigint, of bigint", run)
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -224,17 +232,18 @@ def candidate_links(sets: DataFrame, recall: float = RECALL) -> DataFrame:
     level = _step(lean, roots=runs_for(recall))
     found: list[DataFrame] = []
     for depth in range(1, DEPTH + 1):
-        counted = level.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least")).where("n > 1")
+        counted = level.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("of").alias("of")).where("n > 1")
         spread = counted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        met = cut(level.withColumn("salt", F.pmod(F.col("id"), F.lit(SALTS)).cast("int")).join(spread, ["path", "salt"]).select("path", "id", "n", "least"))
+        salted = level.select("path", "id", F.pmod(F.col("id"), F.lit(SALTS)).cast("int").alias("salt"))
+        met = cut(salted.join(spread, ["path", "salt"]).select("path", "id", "n", "least", "of"))
         found.append(_brute_force(met.where(F.col("n") <= SMALL).select("path", "id").join(lean, "id")))
         large = met.where(F.col("n") > SMALL)
         if large.isEmpty():
             break
-        if depth == DEPTH:
-            found.append(large.where("id != least").select(F.col("id").alias("a"), F.col("least").alias("b")))
-        else:
-            level = _step(large.select("path", "id").join(lean, "id"))
+        dense = (2 * F.col("n") >= F.col("of")) & (F.col("of") > 0) if depth < DEPTH else F.lit(True)
+        found.append(large.where(dense & (F.col("id") != F.col("least"))).select(F.col("id").alias("a"), F.col("least").alias("b")))
+        if depth < DEPTH:
+            level = _step(large.where(~dense).select("path", "id", "n").join(lean, "id"))
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
