@@ -236,14 +236,17 @@ def candidate_links(sets: DataFrame, recall: float = RECALL) -> DataFrame:
         spread = counted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         salted = level.select("path", "id", F.pmod(F.col("id"), F.lit(SALTS)).cast("int").alias("salt"))
         met = cut(salted.join(spread, ["path", "salt"]).select("path", "id", "n", "least", "of"))
-        found.append(_brute_force(met.where(F.col("n") <= SMALL).select("path", "id").join(lean, "id")))
+        links = _brute_force(met.where(F.col("n") <= SMALL).select("path", "id").join(lean, "id"))
         large = met.where(F.col("n") > SMALL)
-        if large.isEmpty():
-            break
+        last = depth == DEPTH or large.isEmpty()
         dense = (2 * F.col("n") >= F.col("of")) & (F.col("of") > 0) if depth < DEPTH else F.lit(True)
-        found.append(large.where(dense & (F.col("id") != F.col("least"))).select(F.col("id").alias("a"), F.col("least").alias("b")))
-        if depth < DEPTH:
-            level = _step(large.where(~dense).select("path", "id", "n").join(lean, "id"))
+        if depth > 1:
+            links = links.unionByName(large.where(dense & (F.col("id") != F.col("least"))).select(F.col("id").alias("a"), F.col("least").alias("b")))
+        # Level by level, so that no plan holds them all.
+        found.append(cut(links.distinct()))
+        if last:
+            break
+        level = _step(large.where(~dense).select("path", "id", "n").join(lean, "id"))
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
@@ -299,7 +302,7 @@ class Joined:
     """The result of a join.
 
     ``rows``: doc_id, r1, r2 (the row's key), s1, s2 (the set's key), n (shingles).
-    ``sets``: id, s1, s2, copies, first (struct of the first row's doc_id, r1, r2).
+    ``sets``: id, s1, s2, copies, least (document id), first (struct of the first row's doc_id, r1, r2).
     ``classes``: id, root, links; only sets that have a link to another.
     """
 
@@ -321,7 +324,7 @@ def join(docs: DataFrame, doc: str = "doc_id", text: str = "text", recall: float
     sets = cut(
         embedded.where("n > 0")
         .groupBy("s1", "s2", "n", "sketch")
-        .agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "r1", "r2")).alias("first"))
+        .agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "r1", "r2")).alias("first"))
         .withColumn("id", F.monotonically_increasing_id())
     )
     groups = cut(components(candidate_links(sets, recall)))
@@ -356,7 +359,7 @@ def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", recall: fl
     ids are allowed; a class of null ids alone has a null class_id.
     """
     got = join(docs, doc, text, recall)
-    sets = got.sets.select("id", "s1", "s2", "copies", F.col("first.doc_id").alias("least"))
+    sets = got.sets.select("id", "s1", "s2", "copies", "least")
     labelled = sets.join(got.classes, "id", "left")
     # A class of one set needs no further look.
     several = labelled.where(F.col("root").isNotNull())
