@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spherelake.llm.common import cut
@@ -11,30 +11,38 @@ from spherelake.llm.common import cut
 SALTS = 8
 
 
-def _star(edges: DataFrame, keep: Column, self_too: bool) -> DataFrame:
-    """Link the neighbours of each node to the least of them and it.  ``edges`` has u, v."""
-    least = edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+def _met(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Edges (u, v) with the minimum m of their u, by a salted join."""
     spread = least.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    met = edges.withColumn("s", F.pmod(F.col("v"), F.lit(SALTS)).cast("int")).join(spread, ["u", "s"])
-    out = met.where(keep).select(F.col("v").alias("a"), F.col("m").alias("b"))
-    if self_too:
-        out = out.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return out.where("a != b").distinct()
+    return edges.withColumn("s", F.pmod(F.col("v"), F.lit(SALTS)).cast("int")).join(spread, ["u", "s"])
+
+
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Link the larger neighbours of each node to the least of its neighbours and it."""
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    return _met(both, least).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Link each node, and its smaller neighbours, to the least of them.  Edges go from larger to smaller."""
+    down = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    across = _met(down, least).where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return across.unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
 
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """(id, root) for every end of an edge (a, b); the root is the least id of its component.
 
     Alternates large and small stars until every edge leads to a root; the number of
-    rounds grows with the logarithm of the nodes.  No edges give no rows.
+    rounds grows with the logarithm of the nodes.  Each half round is a small plan of its
+    own.  No edges give no rows.
     """
     now = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = None
     for _ in range(most):
-        both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = _star(both, F.col("v") > F.col("u"), False)
-        down = large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        now = cut(_star(down, F.lit(True), True))
+        now = cut(_small_star(cut(_large_star(now))))
         got = now.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
         if (got["n"], got["x"]) == state:
             break
