@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -27,6 +28,22 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+@contextlib.contextmanager
+def planned_once(spark: SparkSession) -> Iterator[None]:
+    """Without adaptive re-planning, for small rounds of an iteration that are run at once.
+
+    Re-planning after every stage of every round costs the driver more than the rounds
+    themselves do; their keys are salted, so they need no skew handling.
+    """
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
 

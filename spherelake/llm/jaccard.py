@@ -34,7 +34,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spherelake.llm.common import cut, map_texts, ship, small_batches
@@ -232,10 +232,12 @@ def candidate_links(sets: DataFrame, recall: float = RECALL) -> DataFrame:
     level = _step(lean, roots=runs_for(recall))
     found: list[DataFrame] = []
     for depth in range(1, DEPTH + 1):
-        counted = level.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"), F.max("of").alias("of")).where("n > 1")
-        spread = counted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salted = level.select("path", "id", F.pmod(F.col("id"), F.lit(SALTS)).cast("int").alias("salt"))
-        met = cut(salted.join(spread, ["path", "salt"]).select("path", "id", "n", "least", "of"))
+        # Counted by node and salt first, so a node's rows are few when they are summed and many keys when they join.
+        salted = level.withColumn("salt", F.pmod(F.col("id"), F.lit(SALTS)).cast("int"))
+        part = salted.groupBy("path", "salt").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
+        node = Window.partitionBy("path")
+        whole = part.select("path", "salt", F.sum("n").over(node).alias("n"), F.min("least").over(node).alias("least")).where("n > 1")
+        met = cut(salted.join(whole, ["path", "salt"]).select("path", "id", "n", "least", "of"))
         links = _brute_force(met.where(F.col("n") <= SMALL).select("path", "id").join(lean, "id"))
         large = met.where(F.col("n") > SMALL)
         last = depth == DEPTH or large.isEmpty()
