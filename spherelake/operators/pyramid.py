@@ -57,7 +57,7 @@ class Source:
 
 @dataclass(frozen=True)
 class Prepared:
-    """Weights ready to be applied to any number of fields."""
+    """Weights ready to be applied to any number of fields; ``table.unpersist()`` when they are done with."""
 
     table: DataFrame
     meta: WeightsMeta
@@ -82,6 +82,8 @@ def compute_weights(spark: SparkSession, source: Source, level: int, method: str
         table = weights.nearest(source.centres(), target)
     else:
         table = weights.conservative(source.faces(), mesh.healpix_faces(spark, level))
+    # Every level and variable reads them again; what is lost with an executor is made anew.
+    table = table.persist()
     weights.check_unmapped(table, spark, level, not about["is_global"] if ignore_unmapped is None else ignore_unmapped)
     return Prepared(table, meta)
 
