@@ -6,6 +6,8 @@ centroids are fitted on a bounded sample (``SAMPLE`` rows a language) by spheric
 k-means, ``CENTROIDS`` for each language.  A text gets the language of the centroid of
 the largest cosine; it is rejected if that cosine is below a floor, which depends on
 the text's length and is set from the sample: short texts are far from any centroid.
+A length of which the sample has few texts gets its floor from pieces of that length,
+cut out of the sampled texts.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ SIZES, BITS = (1, 2, 3), 12
 LENGTHS = (10, 20, 40, 80, 160, 320)
 #: A floor is this part of the cosine that all but QUANTILE of the group's sample exceed.
 SLACK, QUANTILE = 0.5, 0.005
+#: A group of fewer sampled texts than these takes its floor from pieces too.
+FEW = 20
 UNKNOWN = "und"
 
 
@@ -55,6 +59,18 @@ def letters_of(flat: Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return cp, again, total[flat.to] - total[flat.at]
 
 
+def pieces_of(text: str) -> list[str]:
+    """For each length group a piece with the least letters of that group, from a word's begin amid the text; empty if the text has fewer."""
+    at = [i for i, c in enumerate(text) if c.isalpha()]
+    begins = [k for k, i in enumerate(at) if k == 0 or at[k - 1] < i - 1]
+    out = []
+    for n in (1, *LENGTHS):
+        fit_in = [k for k in begins if k + n <= len(at)]
+        k = fit_in[len(fit_in) // 2] if fit_in else 0
+        out.append(text[at[k] : at[k + n - 1] + 1] if fit_in else "")
+    return out
+
+
 def counted(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(begin, end, n-gram counts, letters) for groups of texts."""
     flat = Flat(texts)
@@ -130,15 +146,18 @@ def fit(docs: DataFrame, most: int = SAMPLE, centroids: int = CENTROIDS) -> Mode
             for _, _, rows, n in counted(texts):
                 x += pack(rows)
                 letters += n.tolist()
-            return {"x": x, "letters": letters}
+            return {"x": x, "letters": letters, "pieces": [pieces_of(t) for t in texts]}
 
         return work
 
-    got = sorted(map_texts(texts, ["lang", "id"], "text", "lang string, id bigint, x binary, letters bigint", make).collect(), key=lambda r: (r["lang"], r["id"]))
+    got = sorted(map_texts(texts, ["lang", "id"], "text", "lang string, id bigint, x binary, letters bigint, pieces array<string>", make).collect(), key=lambda r: (r["lang"], r["id"]))
     got = [r for r in got if r["letters"] > 0]
     if not got:
         return None
-    rows, langs, best, sizes = [], [], [], []
+    group = np.searchsorted(LENGTHS, [r["letters"] for r in got], "right")
+    few = [g for g in range(len(LENGTHS) + 1) if (group == g).sum() < FEW]
+    rows, langs, best = [], [], []
+    cut: list[list[float]] = [[] for _ in range(len(LENGTHS) + 1)]
     for lang in dict.fromkeys(r["lang"] for r in got):
         own = [r for r in got if r["lang"] == lang]
         x = unit(np.stack([unpack(bytes(r["x"]), 1 << BITS) for r in own]), idf)
@@ -148,14 +167,18 @@ def fit(docs: DataFrame, most: int = SAMPLE, centroids: int = CENTROIDS) -> Mode
         rows.append(c)
         langs += [lang] * len(c)
         best.append((x @ c.T).max(1))
-        sizes.append(letters)
-    best, sizes = np.concatenate(best), np.concatenate(sizes)
-    group = np.searchsorted(LENGTHS, sizes, "right")
-    floors = np.zeros(len(LENGTHS) + 1)
+        for g in few:
+            for _, _, own_rows, _ in counted([r["pieces"][g] for r in own if r["pieces"][g]]):
+                cut[g] += (unit(own_rows, idf) @ c.T).max(1).tolist()
+    best = np.concatenate(best)
+    floors = np.full(len(LENGTHS) + 1, np.nan)
     for g in range(len(floors)):
-        if (group == g).sum() >= 20:
-            floors[g] = SLACK * np.quantile(best[group == g], QUANTILE)
-    # A shorter group is never stricter than a longer one, nor is one without samples.
+        near = np.concatenate([best[group == g], cut[g]])
+        if len(near):
+            floors[g] = SLACK * np.quantile(near, QUANTILE)
+        else:  # longer than all texts of the sample, as pieces of those fill the shorter groups
+            floors[g] = floors[g - 1]
+    # A shorter group is never stricter than a longer one.
     for g in range(len(floors) - 2, -1, -1):
         floors[g] = min(floors[g], floors[g + 1])
     return Model(idf, np.concatenate(rows), tuple(langs), floors)

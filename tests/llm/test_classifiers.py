@@ -150,3 +150,15 @@ def test_labels_of_held_out_rows_are_never_learned(spark, corpus):
     turned = labels.selectExpr("doc_id", "if(crc32(cast(doc_id AS string)) % 5 = 0, 1 - quality, quality) AS quality")
     a, b = rules.fit(docs, labels), rules.fit(docs, turned)
     assert (a.weights == b.weights).all() and a.scale == b.scale
+
+
+def test_short_foreign_texts_are_rejected(spark, corpus, prose):
+    docs, _, _ = corpus
+    model = langid.fit(docs)
+    assert (model.floors > 0).all() and (np.diff(model.floors) >= 0).all()
+    foreign = ["Привет, как твои дела сегодня, друг", "今天天气很好我们一起去公园散步吧好不好呢今天天气很好", "Καλημέρα σας τι κάνετε σήμερα φίλε"]
+    assert langid.classify(model, foreign)[2] == [True] * 3
+    short = [prose(("short", i), 3 + i % 12, ("en", "de")[i % 2]) for i in range(200)]
+    assert sum(langid.classify(model, short)[2]) <= 2
+    few = langid.fit(docs.where("doc_id < 12"))
+    assert (few.floors > 0).all() and all(langid.classify(few, foreign)[2])
