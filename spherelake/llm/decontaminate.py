@@ -1,7 +1,8 @@
 """Benchmark decontamination by SimHash of item-sized windows.
 
 Words are lower-cased runs of letters and digits.  For each benchmark item of n words,
-the documents' windows of n words are compared with it: a window's SimHash must lie
+the documents' windows of n words are compared with it, and a document of fewer words
+as one window, whole: a window's SimHash must lie
 within RADIUS of the item's, and then the exact similarity of their multisets of
 5-word shingles (sum of least counts over sum of largest) must be at least 0.8.
 
@@ -153,9 +154,13 @@ class Matcher:
 
     def match(self, texts: list[str]) -> list[tuple[int, int, float, int]]:
         """(text, item id, similarity, first word): the best window of each text and item, the first of equals."""
+        return [x[:4] for x in self.found(texts)]
+
+    def found(self, texts: list[str]) -> list[tuple[int, int, float, int, int]]:
+        """What ``match`` returns, and the words of each window: the item's, or all of a text that has fewer."""
         flat = Flat(texts)
         cp, begin, end, h, doc = tokens(flat)
-        best: dict[tuple[int, int], tuple[float, int]] = {}
+        best: dict[tuple[int, int], tuple[float, int, int]] = {}
         last = np.searchsorted(doc, np.arange(flat.n), "right")
         first = np.searchsorted(doc, np.arange(flat.n))
         for k, (known, table) in self.by_k.items():
@@ -179,13 +184,20 @@ class Matcher:
                 fits = b >= a
                 p = np.unique(ragged(a[fits], (b - a + 1)[fits]))
                 for i in range(0, len(p), 4096):
-                    self._windows(g, p[i : i + 4096], shingles, cp, begin, end, doc, best)
-        return [(d, item, s, w - int(first[d])) for (d, item), (s, w) in sorted(best.items())]
-
-    def _windows(self, g: Group, p, shingles, cp, begin, end, doc, best) -> None:
+                    self._windows(g, g.n, p[i : i + 4096], shingles, cp, begin, end, doc, best)
+                # A text of fewer than n words is one window, unless it is too short for the similarity.
+                short = np.unique(doc[own[~fits]])
+                words = last[short] - first[short]
+                for n in np.unique(words[words - k + 1 >= self.least * (g.n - k + 1)]).tolist():
+                    p = first[short[words == n]]
+                    for i in range(0, len(p), 4096):
+                        self._windows(g, n, p[i : i + 4096], shingles, cp, begin, end, doc, best)
+        return [(d, item, s, w - int(first[d]), n) for (d, item), (s, w, n) in sorted(best.items())]
+
+    def _windows(self, g: Group, n: int, p, shingles, cp, begin, end, doc, best) -> None:
         if not len(p):
             return
-        w = g.n - g.k + 1
+        w = n - g.k + 1
         # Shingle places of all windows, each once; a window's are neighbours among them.
         cover = np.unique(np.concatenate([p + j for j in range(w)])) if w < 64 else np.unique(ragged(p, np.full(len(p), w)))
         at = np.searchsorted(cover, p)
@@ -196,11 +208,11 @@ class Matcher:
         for x, y in zip(i.tolist(), j.tolist()):
             q = int(p[x])
             if q not in counted:
-                counted[q] = shingle_counter(word_strings(cp, begin, end, q, q + g.n), g.k)
+                counted[q] = shingle_counter(word_strings(cp, begin, end, q, q + n), g.k)
             s = similarity(counted[q], g.counters[y])
             key = int(doc[q]), int(g.items[y])
-            if s >= self.least and s > best.get(key, (0.0, 0))[0]:
-                best[key] = s, q
+            if s >= self.least and s > best.get(key, (0.0, 0, 0))[0]:
+                best[key] = s, q, n
 
 
 def item_blocks(benchmark: DataFrame, item: str, text: str, most: int):
@@ -221,7 +233,8 @@ def item_blocks(benchmark: DataFrame, item: str, text: str, most: int):
 def matches(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: str = "text", item: str = "item_id", most: int = ITEM_WORDS) -> DataFrame:
     """(doc, item, similarity, first_word, n_words) for every row of ``docs`` and item found in it.
 
-    One row for each pair, of its best window.  Null and empty texts match nothing, nor
+    One row for each pair, of its best window; ``n_words`` are the window's, which are the
+    item's or, of a text with fewer, all of the text's.  Null and empty texts match nothing, nor
     do items without a word; items of fewer than five words are one shingle.  Repeated
     documents are matched one by one; of items that repeat an id, each pair has the best.
     Empty tables give no rows.
@@ -239,20 +252,19 @@ def _pass(docs: DataFrame, block: list[tuple[int, str]], doc: str, text: str, it
     groups = build(block)
     if not groups:
         return docs.sparkSession.createDataFrame([], schema)
-    sizes = {int(i): g.n for g in groups for i in g.items}
     shared = docs.sparkSession.sparkContext.broadcast(groups)
 
     def make():
         matcher = Matcher(shared.value)
 
         def work(texts: list[str]) -> dict[str, object]:
-            got = matcher.match(texts)
+            got = matcher.found(texts)
             return {
                 ROW: [x[0] for x in got],
                 item: [x[1] for x in got],
                 "similarity": [x[2] for x in got],
                 "first_word": [x[3] for x in got],
-                "n_words": [sizes[x[1]] for x in got],
+                "n_words": [x[4] for x in got],
             }
 
         return work

@@ -65,3 +65,21 @@ def test_tables(spark, prose):
         assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4]
     assert D.matches(docs.limit(0), bench).count() == 0 and D.matches(docs, bench.limit(0)).count() == 0
     assert D.clean(docs, bench.limit(0)).count() == 7
+
+
+def test_texts_shorter_than_an_item(spark, prose):
+    item, other = prose("whole", 50).split(), prose("other", 50).split()
+    rows = [item[1:], item[:-3], [*item[:20], *item[22:]], item[:30], item[:4], other[:45], [*other[:20], "x", *other[21:49]], [*item[2:], *other[:9]]]
+    docs = spark.createDataFrame([(i, " ".join(r)) for i, r in enumerate(rows)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(other))], "item_id long, text string")
+    want = {}
+    for d, words in enumerate(rows):
+        for i, own in ((7, item), (8, other)):
+            n = min(len(words), 50)
+            s = max(D.similarity(D.shingle_counter([w.lower() for w in words[p : p + n]], 5), D.shingle_counter(own, 5)) for p in range(len(words) - n + 1))
+            if s >= D.SIMILARITY:
+                want[d, i] = s, n
+    assert {0, 1, 2, 5} < {d for d, _ in want} and not {3, 4} & {d for d, _ in want}
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["n_words"]) for r in D.matches(docs, bench).collect()}
+    assert got == want
+    assert {r["doc_id"] for r in D.clean(docs, bench).collect()} == set(range(len(rows))) - {d for d, _ in want}
