@@ -9,6 +9,11 @@ linear scan finds the contiguous region of the largest sum.  Text of blocks whos
 container is furniture by its markup (script, style, nav, form, ...) is not a word at
 all, so it can't be returned even from inside the region.
 
+A container that only its class, id or role calls furniture is weighed by the unlinked
+words inside it against those of the page outside all such containers: one that a name
+of its own also calls content (``main-content with-sidebar``) is no furniture if it has
+more of them, one that holds a content element if it has ``OUTWEIGH`` times as many.
+
 Labelled pages are drawn by a generator of page layouts in this module
 (``labelled_pages``); the tables have no page labels.
 """
@@ -49,6 +54,9 @@ FURNITURE_WORDS = frozenset(
 #: Words in class, id and role that mark the article (fixed values).
 CONTENT_WORDS = frozenset("article main content post entry story body text articlebody maincontent".split())
 
+#: A container named furniture needs so many times the unlinked words outside, if only what it holds speaks for content.
+OUTWEIGH = 10
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|<[!?][^>]*>"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
@@ -61,13 +69,14 @@ _SPACE = re.compile(r"\s+")
 
 
 def _kind(name: str, attrs: str) -> tuple[str, bool]:
-    """("drop" | "furniture" | "content" | "", whether an attribute says so)."""
+    """("drop" | "furniture" | "mixed" | "content" | "", whether an attribute says so); mixed names speak for both."""
     if name in RAW:
         return "drop", False
     if name in FURNITURE:
         return "furniture", False
     if attrs and "=" in attrs or "hidden" in attrs:
         words: set[str] = set()
+        named = False
         for key, value in _ATTR.findall(attrs):
             key, value = key.lower(), value.strip("\"'")
             if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -75,10 +84,13 @@ def _kind(name: str, attrs: str) -> tuple[str, bool]:
             if key in ("class", "id", "role", "itemprop"):
                 words.update(w.lower() for w in _SPLIT.split(value) if w)
                 words.add(value.lower())
+                for part in value.split():
+                    own = {w.lower() for w in _SPLIT.split(part) if w} | {part.lower()}
+                    named |= bool(own & CONTENT_WORDS) and not own & FURNITURE_WORDS
         if words & CONTENT_WORDS and not words & (FURNITURE_WORDS - {"header"}):
             return "content", True
         if words & FURNITURE_WORDS:
-            return "furniture", True
+            return "mixed" if named else "furniture", True
     return "", False
 
 
@@ -94,8 +106,24 @@ def tokenize(page: str) -> list[tuple]:
     stack: list[tuple[str, str]] = []
     block, i, n = 0, 0, len(page)
     drop = furniture = content = link = article = 0
+    # Containers that attributes call furniture: [mixed, holds a content element], and which are open.
+    named: list[list[bool]] = []
+    inside: tuple[int, ...] = ()
 
     def count(name: str, kind: str, by: int) -> None:
+        nonlocal inside
+        if kind in ("named", "mixed"):
+            if by > 0:
+                named.append([kind == "mixed", False])
+                inside += (len(named) - 1,)
+            else:
+                inside = inside[:-1]
+        elif by > 0 and kind == "content":
+            for k in inside:
+                named[k][1] = True
+        tally(name, kind, by)
+
+    def tally(name: str, kind: str, by: int) -> None:
         nonlocal drop, furniture, content, link, article
         drop += by * (kind == "drop")
         furniture += by * (kind == "furniture")
@@ -116,7 +144,7 @@ def tokenize(page: str) -> list[tuple]:
         if text is not None:
             if not drop:
                 heading = bool(stack) and stack[-1][0] in ("h1", "h2", "h3", "h4", "h5", "h6")
-                out.append(("word", block, text, (link > 0, furniture > 0, content + article > 0, heading)))
+                out.append(("word", block, text, (link > 0, furniture > 0, content + article > 0, heading), inside))
             continue
         name = m["name"]
         if name is None:
@@ -125,7 +153,7 @@ def tokenize(page: str) -> list[tuple]:
         if name not in INLINE:
             block += 1
         elif name in ("br", "wbr", "img") and not m["end"]:
-            out.append(("word", block, " " if name != "wbr" else "", (False, False, False, False)))
+            out.append(("word", block, " " if name != "wbr" else "", (False, False, False, False), inside))
         if not drop:
             out.append(("tag", "/" * bool(m["end"]) + name))
         if m["end"]:
@@ -153,9 +181,11 @@ def tokenize(page: str) -> list[tuple]:
                     break
         if name in VOID or (m["attrs"] or "").rstrip().endswith("/") and name not in RAW:
             continue
-        kind, _ = _kind(name, m["attrs"] or "")
+        kind, by_name = _kind(name, m["attrs"] or "")
+        if kind == "furniture" and by_name:
+            kind = "named"
         if name == "header":  # a site's header is furniture; an article's header has its title
-            kind = kind if article + content else "furniture"
+            kind = kind if article + content or any(named[k][0] for k in inside) else "furniture"
         if name in ("html", "body", "article", "main"):
             kind = "content" if name in ("article", "main") else ""
         if name in ("script", "style", "textarea", "title", "iframe", "noscript", "template") and name != "template":
@@ -165,6 +195,34 @@ def tokenize(page: str) -> list[tuple]:
             continue
         stack.append((name, kind))
         count(name, kind, 1)
+    return _weighed(out, named)
+
+
+def _weighed(tokens: list[tuple], named: list[list[bool]]) -> list[tuple]:
+    """Tokens with furniture settled: containers so named stay furniture unless the unlinked words in them outweigh the others."""
+    if not named:
+        return [t[:4] for t in tokens]
+    words: Counter = Counter()
+    for t in tokens:
+        if t[0] == "word" and not t[3][0] and not t[3][1]:
+            words[t[4]] += len(t[2].split())
+    paths: dict[int, list[tuple[int, ...]]] = {}
+    for path in words:
+        for k in path:
+            paths.setdefault(k, []).append(path)
+    cleared: set[int] = set()
+    others = words[()]
+    for k, (mixed, holds) in enumerate(named):  # outer ones come first
+        if (mixed or holds) and sum(words[path] for path in paths.get(k, ())) > others * (1 if mixed else OUTWEIGH):
+            cleared.add(k)
+            others += sum(words[path] for path in paths[k] if cleared.issuperset(path))
+    out = []
+    for t in tokens:
+        if t[0] == "word" and t[4]:
+            link, furniture, content, heading = t[3]
+            content = content or any(named[k][0] for k in t[4] if k in cleared)
+            t = (*t[:3], (link, furniture or not cleared.issuperset(t[4]), content, heading))
+        out.append(t[:4])
     return out
 
 

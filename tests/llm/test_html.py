@@ -55,3 +55,11 @@ def test_tables(spark):
     assert len(got) == 5 and [r["n_chars"] for r in got if r["page_id"] in (2, 3)] == [0, 0]
     assert [r["text"] for r in got if r["page_id"] == 1] == [ARTICLE] * 2 and [r["n_chars"] for r in got if r["page_id"] is None] == [599_999]
     assert H.extract_pages(df.limit(0)).count() == 0
+
+
+def test_furniture_words_do_not_outweigh_the_article():
+    side = "<div class='sidebar'><p>Read this too, it is long enough to look like prose</p></div>"
+    for wrap in ("<div class='main-content with-sidebar'>%s</div>", "<div id='content' class='no-sidebar'>%s</div>", "<section class='post social-policy'>%s</section>", "<div class='widget'><article>%s</article></div>"):
+        for nested in ("", side):
+            assert extract(f"{side}{wrap % f'<header><h1>Title</h1></header><p>{ARTICLE}</p>{nested}<p>End of it.</p>'}<div class='comments'><p>Not this one here</p></div>") == f"Title\n{ARTICLE}\nEnd of it."
+    assert extract(f"<article><p>{ARTICLE}</p></article><div class='post-comments'><article class='comment'><p>{ARTICLE} {ARTICLE}</p></article></div>") == ARTICLE
