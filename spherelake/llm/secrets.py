@@ -81,6 +81,13 @@ def encode(text: str, a: int, b: int) -> np.ndarray:
     return np.array(row + [0] * (WIDTH - len(row)), np.int64)
 
 
+def windows(a: int, b: int) -> list[tuple[int, int]]:
+    """What the network reads of a candidate: all of it, and of a long one stretches of BODY characters that overlap by half."""
+    if b - a <= BODY:
+        return [(a, b)]
+    return [(a, b), *((s, s + BODY) for s in [*range(a, b - BODY, BODY // 2), b - BODY])]
+
+
 class Network:
     """Embedded characters, one convolution over positions marked as context or body, max pooling, two dense layers."""
 
@@ -217,13 +224,50 @@ def labelled_findings(n: int = 4000, seed: int = 5) -> list[tuple[str, int, int,
     return out
 
 
+def long_stretches(n: int = 3000, seed: int = 7) -> list[tuple[str, int, int, int]]:
+    """(text, start, end, 1 if it holds a key) for stretches of long runs: words in paths and names, every other run with a key amid them."""
+    rng = random.Random(seed)
+    alnum = string.ascii_letters + string.digits
+    syllables = "the and tion er ing es on re le de la que ent ver ge sch ar os ci ment ou".split()
+
+    def word() -> str:
+        w = "".join(rng.choices(syllables, k=rng.randint(1, 4)))
+        return rng.choice([w, w, w, w.capitalize(), str(rng.randint(0, 9999)), f"{w}{rng.randint(0, 99)}"])
+
+    def run(least: int) -> str:
+        out, sign = word(), rng.choice("/._-=")
+        while len(out) < least:
+            out += (sign if rng.random() < 0.8 else rng.choice("/._-=")) + word()
+        return out
+
+    out: list[tuple[str, int, int, int]] = []
+    k = 0
+    while len(out) < n:
+        k += 1
+        key = "".join(rng.choices(alnum + rng.choice(["", "+/", "_-"]), k=rng.randint(20, 44))) if k % 2 else ""
+        front, sign = run(rng.randint(24, 90)), rng.choice("/._-=")
+        body = f"{front}{sign}{key}{sign}{run(rng.randint(24, 90))}"
+        head, tail = " ".join(word() for _ in range(rng.randint(0, 6))) + " ", f" {word()}"
+        at, to = len(head) + len(front) + 1, len(head) + len(front) + 1 + len(key)
+        for a, b in windows(len(head), len(head) + len(body))[1:]:
+            held = min(b, to) - max(a, at)
+            if not key or held <= 0 or held >= 16:
+                out.append((f"{head}{body}{tail}", a, b, int(bool(key) and held >= 16)))
+    return out[:n]
+
+
 def fit(findings: list[tuple[str, int, int, int]], recall: float = 0.98, rounds: int = 6, seed: int = 3) -> Network:
-    """Train by Adam on four fifths; calibrate and set the threshold on the last fifth."""
+    """Train by Adam on four fifths of the findings and of stretches of long runs; calibrate and set the threshold on the rest."""
     rng = np.random.default_rng(seed)
     x = np.stack([encode(t, a, b) for t, a, b, _ in findings])
     y = np.array([f[3] for f in findings], np.float32)
     order = rng.permutation(len(x))
     train, apart = order[len(x) // 5 :], order[: len(x) // 5]
+    stretches = long_stretches()
+    more, cut = np.arange(len(x), len(x) + len(stretches)), len(stretches) // 5
+    train, apart = np.concatenate([train, more[cut:]]), np.concatenate([apart, more[:cut]])
+    x = np.concatenate([x, np.stack([encode(t, a, b) for t, a, b, _ in stretches])])
+    y = np.append(y, np.array([f[3] for f in stretches], np.float32))
     net = Network.fresh(rng)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items() if k != "platt"}
     t = 0
@@ -268,13 +312,16 @@ def scan_texts(texts: list[str], net: Network) -> list[tuple[list[tuple[int, int
     """For each text its base spans, and all spans by start, then kind."""
     base = [base_spans(t) for t in texts]
     found = [(i, a, b) for i, t in enumerate(texts) for a, b in candidates(t, base[i])]
+    read = [(j, a, b) for j, x in enumerate(found) for a, b in windows(*x[1:])]
+    flagged = np.zeros(len(found), bool)  # if the largest probability of a candidate's windows reaches the threshold
+    for k in range(0, len(read), 512):
+        part = read[k : k + 512]
+        hits = net.flags(np.stack([encode(texts[found[j][0]], a, b) for j, a, b in part]))
+        flagged[[j for (j, _, _), hit in zip(part, hits) if hit]] = True
     extra: list[list[tuple[int, int, str]]] = [[] for _ in texts]
-    for k in range(0, len(found), 512):
-        part = found[k : k + 512]
-        hits = net.flags(np.stack([encode(texts[i], a, b) for i, a, b in part]))
-        for (i, a, b), hit in zip(part, hits):
-            if hit:
-                extra[i].append((a, b, "model"))
+    for (i, a, b), hit in zip(found, flagged):
+        if hit:
+            extra[i].append((a, b, "model"))
     return [(x, sorted(x + y, key=lambda s: (s[0], KINDS.index(s[2])))) for x, y in zip(base, extra)]
 
 

@@ -64,3 +64,20 @@ def test_scan(spark):
     assert by[4]["spans"] == f"model:4:{4 + len(key)}"
     assert by[None]["spans"].startswith("assign:1100001:")
     assert S.scan(df.limit(0)).count() == 0
+
+
+def test_every_character_of_a_long_run_is_read():
+    for n in (16, 48, 49, 72, 73, 200, 1001):
+        assert {i for a, b in S.windows(5, 5 + n)[n > S.BODY :] for i in range(a, b)} == set(range(5, 5 + n)) and all(b - a <= S.BODY for a, b in S.windows(5, 5 + n)[1:])
+    net = S.default_network()
+    key = "q7ZxW0kLm3RtY8uP2bVn5CsA9dHf6GjE"
+    for front, back in (("static/files/reports/2019/summary-of-the-year/", "/download/latest/version-2/index.html"), ("config.service.main.internal.settings.v2.value.", ".end.of.the.service.settings.main.part")):
+        run, plain = front + key + back, front + "another-page-of-it" + back
+        assert [x[2] for x in S.scan_texts([f"see {run} now"], net)[0][1]] == ["model"]
+        assert S.scan_texts([f"see {plain} now"], net)[0][1] == []
+    truth: dict[str, int] = {}
+    for text, _, _, y in S.long_stretches(3000, seed=98):
+        truth[text] = max(truth.get(text, 0), y)
+    said = [bool(x[1]) for x in S.scan_texts(list(truth), net)]
+    hit, y = np.array(said), np.array(list(truth.values()))
+    assert hit[y == 1].mean() >= 0.95 and hit[y == 0].mean() <= 0.03
