@@ -215,9 +215,10 @@ class Matcher:
                 best[key] = s, q, n
 
 
-def item_blocks(benchmark: DataFrame, item: str, text: str, most: int):
-    """Lists of (id, text) of at most ``most`` words each (or one item); ids must not be null."""
-    rows = benchmark.select(F.col(item).alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t")).where(F.col("i").isNotNull()).orderBy("i", "t")
+def item_blocks(benchmark: DataFrame, item: str, text: str, most: int, nulls: bool = False):
+    """Lists of (id, text) of at most ``most`` words each (or one item); items without an id are left out, or with ``nulls`` get the id -1."""
+    rows = benchmark.select(F.col(item).alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    rows = (rows.withColumn("i", F.coalesce("i", F.lit(-1))) if nulls else rows.where(F.col("i").isNotNull())).orderBy("i", "t")
     block, words = [], 0
     for r in rows.toLocalIterator():
         n = len(r["t"].split()) + 1
@@ -237,6 +238,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, doc: str = "doc_id", text: st
     item's or, of a text with fewer, all of the text's.  Null and empty texts match nothing, nor
     do items without a word; items of fewer than five words are one shingle.  Repeated
     documents are matched one by one; of items that repeat an id, each pair has the best.
+    An item without an id can't be named and gives no row here; ``clean`` heeds it.
     Empty tables give no rows.
     """
     types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
@@ -273,9 +275,9 @@ def _pass(docs: DataFrame, block: list[tuple[int, str]], doc: str, text: str, it
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", most: int = ITEM_WORDS) -> DataFrame:
-    """The rows of ``docs``, with all their columns, in which no benchmark item was found."""
+    """The rows of ``docs``, with all their columns, in which no benchmark item was found, whether or not it has an id."""
     out = docs
-    for block in item_blocks(benchmark, item, text, most):
+    for block in item_blocks(benchmark, item, text, most, nulls=True):
         groups = build(block)
         if groups:
             out = _without(out, groups, text)

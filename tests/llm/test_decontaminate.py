@@ -83,3 +83,10 @@ def test_texts_shorter_than_an_item(spark, prose):
     got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["n_words"]) for r in D.matches(docs, bench).collect()}
     assert got == want
     assert {r["doc_id"] for r in D.clean(docs, bench).collect()} == set(range(len(rows))) - {d for d, _ in want}
+
+
+def test_clean_heeds_items_without_an_id(spark, prose):
+    passage = prose("nameless", 30)
+    docs = spark.createDataFrame([(1, passage), (2, prose("b", 50))], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, passage), (None, "x y z"), (7, "other words entirely")], "item_id long, text string")
+    assert [r["doc_id"] for r in D.clean(docs, bench).collect()] == [2]
