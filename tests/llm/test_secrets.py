@@ -67,7 +67,7 @@ def test_scan(spark):
 
 
 def test_every_character_of_a_long_run_is_read():
-    for n in (16, 48, 49, 72, 73, 200, 1001):
+    for n in (8, 16, 48, 49, 72, 73, 200, 1001):
         assert {i for a, b in S.windows(5, 5 + n)[n > S.BODY :] for i in range(a, b)} == set(range(5, 5 + n)) and all(b - a <= S.BODY for a, b in S.windows(5, 5 + n)[1:])
     net = S.default_network()
     key = "q7ZxW0kLm3RtY8uP2bVn5CsA9dHf6GjE"
@@ -81,3 +81,70 @@ def test_every_character_of_a_long_run_is_read():
     said = [bool(x[1]) for x in S.scan_texts(list(truth), net)]
     hit, y = np.array(said), np.array(list(truth.values()))
     assert hit[y == 1].mean() >= 0.95 and hit[y == 0].mean() <= 0.03
+
+
+#: Shapes and names that the generator of findings doesn't draw.
+KEYS = [
+    "the db_pwd = kTzqWbNfRxLd today", "smtp_pass: hJ7kq2Lw", "vault says login is Xk29fpQz now", "DATABASE_AUTH='zRt8Kp1q'", "set pwd: qwmzkxvbtr here",
+    "curl -u admin:7Hj2kLq9Zx host", "webhook T9ZKQ2LM1/B8XW4RTY7/q8WmZ2xLk0RtYbVn5CsAHfGj", "dckr_pat_Zk3mQ8wLx7Rt2YbVn5CsA9dHf6G", "glc_eyJvIjoiNzQ5MDM4In0xYzQwZTk3MmZk", "key qTzWbNfRxLdKpVmYsGhJcQeU used",
+    "value " + "kTzqWbNfRxLdKpVmYsGhJcQeUaZoXiMnBvCwErTyHgFdSaPlOkMjNhBgVfCdXsZaQwErTyUiOp" + "73", "passphrase is vbnmtrqz ok", "AC5f3kq8wLx7Rt2YbVn5CsA9dHf6GjE1oT", "hvs.CAESIJ2kQ8wLx7Rt2YbVn5CsA9dHf6GjE1oTiKlMnOp",
+]
+CLEAN = [
+    "Donaudampfschifffahrtsgesellschaft has a ship", "note: something happened in september", "see /usr/local/share/doc/readme.txt please", "call 555-0199-2231 or 0049-30-1234567", "ISBN 978-3-16-148410-0 is out", "on 2021-03-04T10-22-31Z it rained",
+    "the well-known state-of-the-art method", "class HttpRequestHandlerFactory extends Base", "def compute_running_average_of_values", "internationalization and responsibilities", "order 4503599627370496 shipped", "IMPORTANT ANNOUNCEMENT FOR PASSENGERS", "src/main/resources/templates/index.html", "----------------------------------------",
+]
+
+
+def test_shapes_that_were_never_drawn():
+    net = S.default_network()
+    assert sum(bool(S.scan_texts([t], net)[0][1]) for t in KEYS) >= len(KEYS) - 2
+    assert sum(bool(S.scan_texts([t], net)[0][1]) for t in CLEAN) <= 1
+
+
+def test_what_is_a_candidate():
+    def runs(text):
+        return [text[a:b] for a, b in S.candidates(text, S.base_spans(text))]
+
+    letters = "abcdefghijklmnop" * 5
+    assert runs(f"x {letters}7 y") == [f"{letters}7"] and runs("x qwertzuiopasdfghjklyxcvbnmqwert y") == ["qwertzuiopasdfghjklyxcvbnmqwert"]
+    assert runs("plain words and Germany 12345678 LOUDWORD end.") == [] and runs("aB3dE6gH. rest") == ["aB3dE6gH"] and runs("ab3dE6g") == []
+    assert runs("pwd: abcdefgh, note = Something login is abcdefghi") == ["abcdefgh", "Something", "abcdefghi"]
+    assert runs("x_key=q8WmZ2xLk0==") == ["q8WmZ2xLk0=="] and runs('token = "abcdefghij" and ' + "a0" * 12) == []
+
+
+def test_threshold_keeps_the_recall_alone():
+    found = S.labelled_findings(1500, seed=3)
+    for recall in (0.5, 0.98, 1.0):
+        net = S.fit(found, recall=recall, rounds=1)
+        more = S.labelled_findings(600, seed=4)
+        hit = net.flags(np.stack([S.encode(t, a, b) for t, a, b, y in more if y]))
+        assert hit.mean() >= recall - 0.08
+
+
+def brute_probability(net, text, a, b):
+    """The network by loops over positions and taps, for one stretch of a text."""
+    classes = lambda s: [1 + min(ord(c), 128) - 32 if 32 <= ord(c) < 128 else 98 if c.isspace() else 99 for c in s]
+    pad = lambda x, n: [*x, *[0] * (n - len(x))]
+    before, body, after = text[max(0, a - 24) : a], text[a:b], text[b : b + 24]
+    body = body if len(body) <= 48 else body[:24] + body[-24:]
+    row = [0] * (24 - len(before)) + classes(before) + pad(classes(body), 48) + pad(classes(after), 24)
+    act = [[max(0.0, float(net.p["bias"][f]) + sum(float(net.p["conv"][k][row[i + k]][f]) for k in range(5))) for f in range(S.FILTERS)] for i in range(92)]
+    x = [max(act[i][f] for i in range(24)) for f in range(S.FILTERS)]
+    x += [sum(act[i][f] for i in range(20, 72)) / 52 for f in range(S.FILTERS)]
+    x += [max(act[i][f] for i in range(68, 92)) for f in range(S.FILTERS)]
+    x += [max(act[i][f] for i in range(20, 72)) for f in range(S.FILTERS)]
+    h = np.maximum(np.array(x) @ net.p["w1"] + net.p["b1"], 0)
+    p, q, _ = net.p["platt"]
+    return 1 / (1 + np.exp(-(p * (h @ net.p["w2"] + net.p["b2"][0]) + q)))
+
+
+def test_spans_equal_brute_force():
+    net = S.default_network()
+    texts = [t for t, *_ in S.labelled_findings(24, seed=41)] + [t for t, *_ in S.long_stretches(60, seed=42)][::20] + KEYS[:4] + CLEAN[:4]
+    for text, (base, spans) in zip(texts, S.scan_texts(texts, net)):
+        want = []
+        for a, b in S.candidates(text, base):
+            parts = [(a, b)] if b - a <= 48 else [(a, b), *((s, s + 48) for s in [*range(a, b - 48, 24), b - 48])]
+            if max(brute_probability(net, text, *p) for p in parts) >= net.p["platt"][2]:
+                want.append((a, b, "model"))
+        assert [s for s in spans if s[2] == "model"] == want
