@@ -37,9 +37,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, ids, n_pieces, score, second_score and text, decoded from the ids."""
-    model = pieces.Pieces.load()
-    made = pieces.decode(pieces.encode(docs, model, keep=("doc_id", "lang", "source"), n=2), model, to="text")
+    """doc_id, lang, source, ids, n_pieces, score, second_score and text, decoded from the ids.
+
+    A null text has no ids and decodes to an empty one; repeated rows each give a row.
+    """
+    made = pieces.encode(docs, pieces.Pieces.load(), keep=("doc_id", "lang", "source"), n=2, decoded="text")
     return made.select(
         "doc_id",
         "lang",

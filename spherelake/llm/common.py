@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -21,11 +22,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Fewer rows in an Arrow batch than Spark's default, as a row holds a whole text."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > rows:
-        spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 8 << 20) -> None:
+    """Fewer rows, and bytes, in an Arrow batch than Spark's default, as a row holds a whole text.
+
+    Both settings are the session's, are only ever lowered, and change no result.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = spark.conf.get(key).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
+def release() -> None:
+    """Give freed memory back to the system: a Python worker waits for its next task with what its last one freed."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not a GNU system
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` over a task's batches, and ``release`` at its end."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
 
 
 @contextlib.contextmanager
@@ -47,11 +71,15 @@ def planned_once(spark: SparkSession) -> Iterator[None]:
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
 
-    The folder is spark.checkpoint.dir; only where that is unset (tests) is one made.
+    The folder is spark.checkpoint.dir.  Where that is unset, a temporary one is made on
+    one machine (tests), and a cluster raises: its executors share no such folder.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint(eager=True)
 
 
@@ -87,6 +115,7 @@ def map_texts(
     text: str,
     schema: str,
     make: Callable[[], Callable[[list[str]], dict[str, object]]],
+    most: int = BLOCK_CHARS,
 ) -> DataFrame:
     """Run a function over blocks of texts in Arrow batches.
 
@@ -109,7 +138,7 @@ def map_texts(
         work = make()
         for batch in batches:
             texts = batch.column(text).to_pylist()
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, most):
                 made = work([t or "" for t in texts[a:b]])
                 columns = []
                 rows = made.pop(ROW, None)
@@ -122,7 +151,7 @@ def map_texts(
                         columns.append(kept if rows is None else kept.take(pa.array(rows, pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in arrow])
 
-    return picked.mapInArrow(run, out_type)
+    return picked.mapInArrow(released(run), out_type)
 
 
 def _arrow_field(field) -> pa.Field:

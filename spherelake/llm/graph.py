@@ -19,7 +19,7 @@ def _with_least(edges: DataFrame) -> DataFrame:
     """
     salted = edges.withColumn("s", F.pmod(F.col("v"), F.lit(SALTS)).cast("int"))
     part = salted.groupBy("u", "s").agg(F.min("v").alias("m"))
-    return salted.join(part.select("u", "s", F.min("m").over(Window.partitionBy("u")).alias("m")), ["u", "s"])
+    return salted.join(part.select("u", "s", F.min("m").over(Window.partitionBy("u")).alias("m")).hint("merge"), ["u", "s"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spherelake.llm.common import cut, map_texts, ship, small_batches
+from spherelake.llm.common import blocks as text_blocks, cut, map_texts, released, ship, small_batches
 from spherelake.llm.flat import Flat, mix, windows
 from spherelake.llm.graph import components
 
@@ -50,7 +50,7 @@ RECALL = 0.999
 #: Sets whose tokens agree in this share are candidates: three to four deviations below the threshold.
 MARGIN = 0.6
 #: Sets, and words, of a block of a group.
-TILE, TILE_WORDS = 1024, 2_000_000
+TILE, TILE_WORDS = 1024, 300_000
 SALTS = 16
 
 
@@ -127,10 +127,15 @@ def children_of(path: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return out
 
 
+def _met(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """An inner join without a broadcast: both sides grow with the documents."""
+    return left.join(right.hint("merge"), keys)
+
+
 def _python(df: DataFrame, schema: str, run: Callable) -> DataFrame:
     ship(df.sparkSession)
     small_batches(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 def _tokens(column: pa.Array) -> np.ndarray:
@@ -237,8 +242,8 @@ def candidate_links(sets: DataFrame, recall: float = RECALL) -> DataFrame:
         part = salted.groupBy("path", "salt").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
         node = Window.partitionBy("path")
         whole = part.select("path", "salt", F.sum("n").over(node).alias("n"), F.min("least").over(node).alias("least")).where("n > 1")
-        met = cut(salted.join(whole, ["path", "salt"]).select("path", "id", "n", "least", "of"))
-        links = _brute_force(met.where(F.col("n") <= SMALL).select("path", "id").join(lean, "id"))
+        met = cut(_met(salted, whole, ["path", "salt"]).select("path", "id", "n", "least", "of"))
+        links = _brute_force(_met(met.where(F.col("n") <= SMALL).select("path", "id"), lean, ["id"]))
         large = met.where(F.col("n") > SMALL)
         last = depth == DEPTH or large.isEmpty()
         dense = (2 * F.col("n") >= F.col("of")) & (F.col("of") > 0) if depth < DEPTH else F.lit(True)
@@ -248,7 +253,7 @@ def candidate_links(sets: DataFrame, recall: float = RECALL) -> DataFrame:
         found.append(cut(links.distinct()))
         if last:
             break
-        level = _step(large.where(~dense).select("path", "id", "n").join(lean, "id"))
+        level = _step(_met(large.where(~dense).select("path", "id", "n"), lean, ["id"]))
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
@@ -285,7 +290,10 @@ def _tiles(rows: DataFrame) -> DataFrame:
         for g in grouped(batches, ["g", "i", "j"]):
             ids, block, copies = (g.column(c).to_numpy() for c in ("id", "block", "copies"))
             i, j, blocks = g.column("i")[0].as_py(), g.column("j")[0].as_py(), g.column("blocks")[0].as_py()
-            owner, value = shingles_of(g.column("text").to_pylist())
+            texts = g.column("text").to_pylist()
+            parts = [(a, shingles_of(texts[a:b])) for a, b in text_blocks(texts)]
+            owner, value = np.concatenate([a + x for a, (x, _) in parts]), np.concatenate([x for _, (_, x) in parts])
+            del texts, parts
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
             linked = exact_links(owner, value, len(ids), left, right)
             adjacent = np.eye(len(ids), dtype=bool)
@@ -331,13 +339,13 @@ def join(docs: DataFrame, doc: str = "doc_id", text: str = "text", recall: float
     )
     groups = cut(components(candidate_links(sets, recall)))
     # How many blocks a group needs, by its sets and by its words.
-    member = groups.select("id", F.col("root").alias("g")).join(sets.select("id", "n", "copies", "first"), "id")
+    member = _met(groups.select("id", F.col("root").alias("g")), sets.select("id", "n", "copies", "first"), ["id"])
     blocks = member.groupBy("g").agg(F.greatest(F.ceil(F.count(F.lit(1)) / TILE), F.ceil(F.sum("n") / TILE_WORDS)).cast("int").alias("blocks"))
     spread = blocks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    member = member.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(spread, ["g", "salt"])
+    member = _met(member.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")), spread, ["g", "salt"])
     member = member.select("id", "g", "copies", "blocks", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int").alias("block"), F.col("first.r1").alias("r1"), F.col("first.r2").alias("r2"))
     # Repeated rows have one key; each set needs its text once.
-    texts = own.select("r1", "r2", "text").join(member, ["r1", "r2"])
+    texts = _met(own.select("r1", "r2", "text"), member, ["r1", "r2"])
     texts = texts.groupBy("r1", "r2", "id", "g", "copies", "blocks", "block").agg(F.min("text").alias("text"))
     tiled = texts.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     tiled = tiled.select("id", "g", "copies", "blocks", "block", "text", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
@@ -347,7 +355,7 @@ def join(docs: DataFrame, doc: str = "doc_id", text: str = "text", recall: float
     if not parted.isEmpty():
         roots = roots.unionByName(components(parted))
     links = got.groupBy("id").agg(F.sum("links").alias("links")).where("links > 0")
-    return Joined(rows, sets, cut(links.join(roots, "id").select("id", "root", "links")))
+    return Joined(rows, sets, cut(_met(links, roots, ["id"]).select("id", "root", "links")))
 
 
 def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
@@ -361,31 +369,43 @@ def classes(docs: DataFrame, doc: str = "doc_id", text: str = "text", recall: fl
     ids are allowed; a class of null ids alone has a null class_id.
     """
     got = join(docs, doc, text, recall)
-    sets = got.sets.select("id", "s1", "s2", "copies", "least")
-    labelled = sets.join(got.classes, "id", "left")
+    sets = got.sets.select("id", "s1", "s2", "copies", "least", F.col("first.r1").alias("r1"))
+    labelled = sets.join(got.classes.hint("merge"), "id", "left")
     # A class of one set needs no further look.
     several = labelled.where(F.col("root").isNotNull())
     least = several.groupBy("root").agg(F.min("least").alias("class_least"))
     spread = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    several = several.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(spread, ["root", "salt"])
-    columns = ["s1", "s2", "class_id", "n_links"]
-    of_set = several.select("s1", "s2", F.col("class_least").alias("class_id"), (F.col("links") + F.col("copies") - 1).alias("n_links"))
-    of_set = of_set.unionByName(labelled.where(F.col("root").isNull()).select("s1", "s2", F.col("least").alias("class_id"), (F.col("copies") - 1).alias("n_links")))
-    worded = got.rows.where("n > 0").join(of_set.select(*columns), ["s1", "s2"]).select("doc_id", "class_id", "n_links")
+    several = _met(several.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")), spread, ["root", "salt"])
+    keys = ["s1", "s2", "r1", "copies"]
+    of_set = several.select(*keys, F.col("class_least").alias("class_id"), (F.col("links") + F.col("copies") - 1).alias("n_links"))
+    of_set = of_set.unionByName(labelled.where(F.col("root").isNull()).select(*keys, F.col("least").alias("class_id"), (F.col("copies") - 1).alias("n_links")))
+    # The rows of one set are dealt over SALTS keys; a set of one row needs that row's key alone.
+    salt = F.pmod(F.col("r1"), F.lit(SALTS)).cast("int")
+    salts = F.when(F.col("copies") == 1, F.array(salt)).otherwise(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    dealt = of_set.select("s1", "s2", "class_id", "n_links", F.explode(salts).alias("salt"))
+    # Copies of a text have different ids, so their row keys differ.
+    worded = _met(got.rows.where("n > 0").withColumn("salt", salt), dealt, ["s1", "s2", "salt"]).select("doc_id", "class_id", "n_links")
     empty = got.rows.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return worded.unionByName(empty).withColumnRenamed("doc_id", doc)
 
 
 def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text", recall: float = RECALL) -> DataFrame:
-    """All columns of one row of each class, the first by document id; rows without words all stay."""
+    """All columns of one row of each class, the first by document id; rows without words all stay.
+
+    Null and empty texts have no words, so their rows stay, repeated ones too.  Of rows
+    that agree in id and text the one whose other columns come first as JSON stays.  A
+    null id comes before all others.  An empty table gives no rows.
+    """
     got = join(docs, doc, text, recall)
-    labelled = got.sets.select("id", "first").join(got.classes.select("id", "root"), "id", "left")
+    labelled = got.sets.select("id", "first").join(got.classes.select("id", "root").hint("merge"), "id", "left")
     first = labelled.groupBy(F.coalesce("root", "id").alias("root")).agg(F.min("first").alias("first")).select("first.r1", "first.r2")
     wordless = got.rows.where("n = 0").select("r1", "r2").distinct()
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *row_key(doc, text))
-    stay = packed.join(wordless.unionByName(first).withColumn("all", F.lit(None).cast("int")), ["r1", "r2"], "left_semi")
+    stay = packed.join(wordless.unionByName(first).hint("merge"), ["r1", "r2"], "left_semi")
     # Equal rows have one key: one of them stays, but all of those without words.
     has_word = F.coalesce(F.col("row").getField(text), F.lit("")).rlike("[^\\x20\\x09-\\x0D]")
-    once = stay.where(has_word).groupBy("r1", "r2").agg(F.first("row").alias("row")).select("row")
+    others = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in (doc, text)]
+    order = F.to_json(F.struct(*others), {"ignoreNullFields": "false"}) if others else F.lit("")
+    once = stay.where(has_word).groupBy("r1", "r2").agg(F.min_by("row", order).alias("row")).select("row")
     kept = once.unionByName(stay.where(~has_word).select("row"))
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

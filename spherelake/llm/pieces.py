@@ -30,16 +30,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from spherelake.llm.common import map_texts, schema_with, ship, small_batches
+from spherelake.llm.common import map_texts, released, schema_with, ship, small_batches
 from spherelake.llm.flat import Flat, mix, powers
 
 MARK = "▁"
 #: Stands for a U+2581 of the text: no character, so no piece matches it.
 OWN_MARK = 0x110000
-#: Units up to this length are searched by array operations.
+#: Units up to this length are searched by array operations, longer ones by ``n_best``; both give the same paths, ties included.
 SHORT = 24
 #: Distinct units whose N best are remembered by a task.
-REMEMBER = 50_000
+REMEMBER = 20_000
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -411,13 +411,16 @@ def apply_alternative(ids: list[int], changes: list[tuple[int, int, list[int]]])
     return ids
 
 
-def encode(docs: DataFrame, pieces: Pieces, keep: tuple[str, ...] = ("doc_id",), text: str = "text", n: int = 2) -> DataFrame:
+def encode(docs: DataFrame, pieces: Pieces, keep: tuple[str, ...] = ("doc_id",), text: str = "text", n: int = 2, decoded: str | None = None) -> DataFrame:
     """``keep``, ``ids`` (the best path), ``scores`` of the n best, ``others`` (the ids of the second to n-th best).
 
-    Null and empty texts have no ids and one score, 0.  A text with fewer than n
-    paths has fewer scores.  Repeated rows each give a row, an empty table none.
+    With ``decoded``, a column of that name holds the text decoded from the ids, made in
+    the same pass over the data.  Null and empty texts have no ids and one score, 0.  A
+    text with fewer than n paths has fewer scores.  A very long text is one block.
+    Repeated rows each give a row, an empty table none; columns of the input that have
+    the name of a new one are left out.
     """
-    kept, schema = schema_with(docs, keep, "ids array<int>, scores array<double>, others array<array<int>>")
+    kept, schema = schema_with(docs, keep, "ids array<int>, scores array<double>, others array<array<int>>" + (f", `{decoded}` string" if decoded else ""))
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
 
     def make():
@@ -438,7 +441,7 @@ def encode(docs: DataFrame, pieces: Pieces, keep: tuple[str, ...] = ("doc_id",),
                 others.append(full)
             flat_others = [x for full in others for x in full]
             inner = pa.ListArray.from_arrays(np.cumsum([0, *map(len, flat_others)]).astype(np.int32), pa.array(np.concatenate([*flat_others, np.zeros(0, np.int32)]).astype(np.int32)))
-            return {
+            return ({decoded: decode_ids(shared.value, ids.astype(np.int64), offsets)} if decoded else {}) | {
                 "ids": pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(ids.astype(np.int32))),
                 "scores": [[x for x in row if x > -np.inf] for row in scores.tolist()],
                 "others": pa.ListArray.from_arrays(np.cumsum([0, *map(len, others)]).astype(np.int32), inner),
@@ -459,7 +462,11 @@ def decode_ids(pieces: Pieces, ids: np.ndarray, offsets: np.ndarray) -> list[str
 
 
 def decode(rows: DataFrame, pieces: Pieces, ids: str = "ids", to: str = "decoded") -> DataFrame:
-    """All columns and ``to``: the text of the ids.  Null ids give a null text, no ids an empty one."""
+    """All columns and ``to``: the text of the ids.  Null ids give a null text, no ids an empty one.
+
+    A column that is named ``to`` already is replaced.
+    """
+    rows = rows.drop(to)
     spark = rows.sparkSession
     ship(spark)
     small_batches(spark)
@@ -479,4 +486,4 @@ def decode(rows: DataFrame, pieces: Pieces, ids: str = "ids", to: str = "decoded
             null = column.is_null().to_pylist()
             yield pa.RecordBatch.from_arrays([*[c.cast(f.type) for c, f in zip(batch.columns, arrow)], pa.array([None if z else t for z, t in zip(null, texts)], arrow.field(to).type)], schema=arrow)
 
-    return rows.mapInArrow(run, out_type)
+    return rows.mapInArrow(released(run), out_type)

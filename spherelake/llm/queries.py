@@ -51,9 +51,8 @@ FROM near GROUP BY conv_id
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.Pieces.load()
-    made = pieces.encode(table(spark, sf_dir, "documents"), model, keep=("doc_id", "text"), n=2)
-    back = pieces.decode(made, model)
-    return back.select(
+    made = pieces.encode(table(spark, sf_dir, "documents"), model, keep=("doc_id", "text"), n=2, decoded="decoded")
+    return made.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
         F.get("scores", F.lit(0)).alias("score"),
