@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spherelake.llm.common import ROW, map_texts
-from spherelake.llm.flat import Flat, alnum_table, look, lower_table, mix, windows
+from spherelake.llm.flat import Flat, alnum_table, look, lowered, mix, windows
 
 SHINGLE, SIMILARITY = 5, 0.8
 BITS, RADIUS = 128, 33
@@ -38,8 +38,7 @@ ITEM_WORDS = 2_000_000
 
 def tokens(flat: Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased code points; begins, ends, hashes and texts of the words."""
-    cp = look(lower_table(), np.minimum(flat.cp, np.uint32(0x2FFFF)))
-    cp = np.where(flat.cp < 0x30000, cp, flat.cp)
+    cp = lowered(flat.cp)
     begin, end = flat.runs(look(alnum_table(), flat.cp) & (flat.cp != 10))
     return cp, begin, end, flat.spans(flat.prefix(cp), begin, end), flat.doc_of(begin)
 

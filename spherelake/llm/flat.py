@@ -40,11 +40,15 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(size)
 
 
+#: No letter or digit has a code point from here on (a test holds this against the interpreter's tables).
+TOP = 0x40000
+
+
 @lru_cache(1)
 def lower_table() -> np.ndarray:
-    """For each code point below 0x30000 its lower case, where that is one code point."""
-    out = np.arange(0x30000, dtype=np.uint32)
-    for c in range(0x30000):
+    """For each code point below TOP its lower case, where that is one code point."""
+    out = np.arange(TOP, dtype=np.uint32)
+    for c in range(TOP):
         low = chr(c).lower()
         if len(low) == 1:
             out[c] = ord(low)
@@ -53,19 +57,24 @@ def lower_table() -> np.ndarray:
 
 @lru_cache(1)
 def alnum_table() -> np.ndarray:
-    return np.fromiter((chr(c).isalnum() for c in range(0x30000)), bool, 0x30000)
+    return np.fromiter((chr(c).isalnum() for c in range(TOP)), bool, TOP)
 
 
 @lru_cache(1)
 def letter_table() -> np.ndarray:
-    return np.fromiter((chr(c).isalpha() for c in range(0x30000)), bool, 0x30000)
+    return np.fromiter((chr(c).isalpha() for c in range(TOP)), bool, TOP)
 
 
 def look(tab: np.ndarray, cp: np.ndarray) -> np.ndarray:
-    """Look code points up; those beyond the table count as code point 0x2FFFF."""
+    """Look code points up; those beyond the table count as its last, which is no character."""
     return tab[np.minimum(cp, np.uint32(len(tab) - 1))]
 
 
+def lowered(cp: np.ndarray) -> np.ndarray:
+    """Code points in lower case; those beyond the table as they are."""
+    return np.where(cp < TOP, look(lower_table(), cp), cp)
+
+
 class Flat:
     """Texts joined by newlines: ``cp`` the code points, ``at``/``to`` where each text begins and ends."""
 

@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spherelake.llm.common import ROW, blocks, fold, map_texts, schema_with, ship, small_batches
-from spherelake.llm.flat import Flat, letter_table, look, lower_table
+from spherelake.llm.common import ROW, blocks, cut as cut_lineage, fold, map_texts, released, schema_with, ship, small_batches
+from spherelake.llm.flat import Flat, letter_table, look, lowered
 from spherelake.llm.hashed import char_rows, pack, unpack
 
 #: Rows of each language used for the centroids, at most; and centroids of each language.
 SAMPLE, CENTROIDS = 600, 4
-#: Languages that are learned, at most; each adds CENTROIDS rows to a model that executors hold.
-LANGUAGES = 1000
+#: Up to so many languages their counts are broadcast; more are joined by a shuffle.
+FEW_LANGUAGES = 10_000
 SIZES, BITS = (1, 2, 3), 12
 #: Texts of fewer letters than these are groups with floors of their own.
 LENGTHS = (10, 20, 40, 80, 160, 320)
@@ -51,7 +51,7 @@ class Model:
 def letters_of(flat: Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased code points with all but letters as spaces; positions that only repeat a space; letters by text."""
     letter = look(letter_table(), flat.cp)
-    cp = np.where(letter, look(lower_table(), np.minimum(flat.cp, np.uint32(0x2FFFF))), np.uint32(32))
+    cp = np.where(letter, lowered(flat.cp), np.uint32(32))
     blank = ~letter
     again = blank.copy()
     again[1:] &= blank[:-1]
@@ -101,7 +101,7 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], schema=schema)
 
-    summed = docs.select("text").mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    summed = docs.select("text").mapInArrow(released(run), "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     out = np.zeros((1 << BITS) + 1, np.int64)
     for r in summed:
         out[r["bucket"]] = r["n"]
@@ -125,7 +125,10 @@ def k_means(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
 
 
 def fit(docs: DataFrame, most: int = SAMPLE, centroids: int = CENTROIDS) -> Model | None:
-    """Learn from rows with text and lang whose fold isn't held out; None if there are none."""
+    """Learn from rows with text and lang whose fold isn't held out; None if there are none.
+
+    Every language of those rows is learned; each adds ``centroids`` rows of 16 KB to the model.
+    """
     learn = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.col("lang") != "") & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 0))
     df, n = frequencies(learn)
     if n == 0:
@@ -133,9 +136,10 @@ def fit(docs: DataFrame, most: int = SAMPLE, centroids: int = CENTROIDS) -> Mode
     idf = (np.log((1 + n) / (1 + df)) + 0.1).astype(np.float32)
     # The first ids of each language by a hash.  Ids whose hash is far beyond the last of them are left
     # out beforehand, so that a language's rows that meet are a few times ``most``, however many it has.
-    count = learn.groupBy("lang").agg(F.count(F.lit(1)).alias("of"))
+    count = cut_lineage(learn.groupBy("lang").agg(F.count(F.lit(1)).alias("of")))
+    count = F.broadcast(count) if count.count() <= FEW_LANGUAGES else count
     rank = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
-    likely = learn.select("lang", F.col("doc_id").alias("id"), rank.alias("h")).join(F.broadcast(count.orderBy(F.desc("of"), "lang").limit(LANGUAGES)), "lang").where(F.col("h") * F.col("of") < 3 * most)
+    likely = learn.select("lang", F.col("doc_id").alias("id"), rank.alias("h")).join(count, "lang").where(F.col("h") * F.col("of") < 3 * most)
     order = Window.partitionBy("lang").orderBy("h", "id")
     ids = likely.select("lang", "id", "h").distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select("lang", "id")
     texts = learn.select("lang", F.col("doc_id").alias("id"), "text").join(F.broadcast(ids), ["lang", "id"]).groupBy("lang", "id").agg(F.min("text").alias("text"))
@@ -161,9 +165,7 @@ def fit(docs: DataFrame, most: int = SAMPLE, centroids: int = CENTROIDS) -> Mode
     for lang in dict.fromkeys(r["lang"] for r in got):
         own = [r for r in got if r["lang"] == lang]
         x = unit(np.stack([unpack(bytes(r["x"]), 1 << BITS) for r in own]), idf)
-        # Centroids come from the longer half, whose vectors are the more certain.
-        letters = np.array([r["letters"] for r in own])
-        c = k_means(x[letters >= np.median(letters)], centroids)
+        c = k_means(x, centroids)
         rows.append(c)
         langs += [lang] * len(c)
         best.append((x @ c.T).max(1))
@@ -221,7 +223,11 @@ def predict(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc_
 
 
 def accepted(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text isn't rejected."""
+    """The rows of ``docs``, with all their columns, whose text isn't rejected.
+
+    Null texts and those without a letter are rejected; without a model all are.  Whole
+    texts are read.  Repeated rows all stay or all go, and an empty table stays empty.
+    """
 
     def make():
         return lambda texts: {ROW: [i for i, no in enumerate(classify(model, texts)[2]) if not no]}
