@@ -6,9 +6,8 @@ one dense layer.  Gated attention, learned from document labels alone, weighs th
 passages; the weighted sum is the document's representation, which a logistic layer
 scores.  Scores are calibrated by Platt scaling on a part of the sample kept apart.
 
-The network is fitted on a bounded sample of labelled rows (``SAMPLE``); of a very long
-sample text at most ``BAG`` passages, evenly spread, are used for fitting.  Scoring
-reads every passage of every text.
+The network is fitted on a bounded sample of labelled rows (``SAMPLE``), on all passages
+of their texts.  Scoring reads every passage of every text.
 """
 
 from __future__ import annotations
@@ -21,7 +20,8 @@ from spherelake.llm.flat import Flat, alnum_table, look, mix
 from spherelake.llm.hashed import gram_index, labelled_sample
 from spherelake.llm.secrets import platt
 
-SAMPLE, BAG = 2500, 64
+#: Labelled rows that are used for fitting, at most.
+SAMPLE = 2500
 PASSAGE = 64
 SIZES, BITS = (2, 3), 8
 SHAPES = 8
@@ -183,8 +183,6 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
             for x, owner, a, b in encode(texts):
                 for i in range(a, b):
                     own = x[np.searchsorted(owner, i) : np.searchsorted(owner, i, "right")]
-                    if len(own) > BAG:
-                        own = own[np.linspace(0, len(own) - 1, BAG).astype(int)]
                     out.append(own.astype(np.float16).tobytes())
             return {"x": out}
 
@@ -201,8 +199,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
 def score(docs: DataFrame, model: Network | float, text: str = "text", keep: tuple[str, ...] = ("doc_id",), threshold: float = GOOD) -> DataFrame:
     """``keep``, ``score`` (0 to 1) and ``predicted`` (1 if the score is at least the threshold) for every row.
 
-    Null and empty texts are one empty passage, and get a score too.  Repeated rows each
-    give a row, an empty table none.
+    Null and empty texts are one empty passage, and get a score too; of a very long text
+    every passage counts.  Repeated rows each give a row, an empty table none.  Columns of
+    ``keep`` named score or predicted are left out.
     """
     kept, schema = schema_with(docs, keep, "score double, predicted int")
     parameters = model.p if isinstance(model, Network) else float(model)
