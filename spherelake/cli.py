@@ -39,11 +39,12 @@ def cache_dir(environment: dict[str, str] | None = None) -> str:
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="spherelake", description=__doc__)
     p.add_argument("field", help="Parquet table with batch columns, src and variables")
-    p.add_argument("grid", help="Parquet table of grid points: src, y, x, lat, lon")
+    p.add_argument("grid", help="Parquet table of grid points: y and x, or a dimension of cells, and coordinates")
     p.add_argument("root", help="where the levels are written")
     p.add_argument("--variables", nargs="+", required=True)
     p.add_argument("--time-index", default="time_idx")
-    p.add_argument("--kind", default="curvilinear", choices=["curvilinear", "unstructured"])
+    p.add_argument("--kind", default="auto", choices=["auto", "regular", "curvilinear", "unstructured"])
+    p.add_argument("--units", default="auto", choices=["auto", "deg", "rad"])
     p.add_argument("--method", default="conservative", choices=["nearest", "conservative"])
     p.add_argument("--max-level", type=int)
     p.add_argument("--min-level", type=int, default=0)
@@ -58,9 +59,8 @@ def main(arguments: list[str] | None = None) -> int:
     spark = get_session()
     spark.sparkContext.setLogLevel("INFO" if a.verbose > 1 else "WARN")
     data = spark.read.parquet(a.field).withColumnRenamed(a.time_index, "time_idx").withColumn("time_idx", F.col("time_idx").cast("long"))
-    source = pyramid.Source(a.kind, points=spark.read.parquet(a.grid))
-    levels = pyramid.pyramid(data, source, a.variables, ["time_idx"], a.max_level, a.min_level, a.method)
-    store.save_pyramid(levels, a.root, a.mode)
+    source = pyramid.Source.of(spark.read.parquet(a.grid), a.kind, units=a.units)
+    levels = pyramid.write_pyramid(data, source, a.variables, ["time_idx"], a.root, a.max_level, a.min_level, a.method, mode=a.mode)
     log.info("wrote levels %s to %s", sorted(levels), a.root)
     return 0
 

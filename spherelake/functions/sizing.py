@@ -25,19 +25,16 @@ def chunk_sizes(
     "map" fills a chunk with cells first, "time_series" with times first; the largest
     time chunk wins over the number of times, which then bounds it.
     """
-    budget = int(int(stored_mib * MIB) * ratio) // itemsize
-    n = npix(level)
+    values = int(int(stored_mib * MIB) * ratio) // itemsize  # that fit into a chunk
+    cells = [npix(level), *([] if max_cell is None else [max_cell])]
+    times = [x for x in (max_time, ntime) if x is not None]
     if access == "map":
-        cell = n if max_cell is None else min(n, max_cell)
-        return {"time": max(1, budget // cell), "cell": cell}
-    if access != "time_series":
-        raise ValueError(f"unknown access {access!r}")
-    time = max_time if max_time is not None else ntime
-    if time is None:
-        raise ValueError("time_series access needs ntime or max_time")
-    time = time if ntime is None else min(time, ntime)
-    cell = min(n, max(1, budget // time))
-    return {"time": time, "cell": cell if max_cell is None else min(cell, max_cell)}
+        first = min(cells)
+        return {"time": max(1, values // first), "cell": first}
+    if access != "time_series" or not times:
+        raise ValueError(f"unknown access {access!r}" if access != "time_series" else "time_series access needs ntime or max_time")
+    first = min(times)
+    return {"time": first, "cell": min(max(1, values // first), *cells)}
 
 
 def map_time_chunk(level: Column, itemsize: int = 4, stored_mib: float = 16.0, ratio: float = 2.0) -> Column:

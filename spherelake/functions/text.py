@@ -14,8 +14,9 @@ DATE_TOKEN = r"_(\d{6}|\d{8})_"
 
 
 def sanitise(name: Column) -> Column:
-    """Runs of characters outside [A-Za-z0-9._-] become one underscore; outer ones go."""
-    return F.regexp_replace(F.regexp_replace(name, r"[^A-Za-z0-9._-]+", "_"), r"^_+|_+$", "")
+    """Runs of characters outside [A-Za-z0-9._-] become one underscore; outer ones and outer dots go; what is empty then is "source"."""
+    bare = F.regexp_replace(F.regexp_replace(name, r"[^A-Za-z0-9._-]+", "_"), r"^[._]+|[._]+$", "")
+    return F.when(bare == "", "source").otherwise(bare)
 
 
 def date_token(name: Column) -> Column:
@@ -31,7 +32,12 @@ def period(token: Column) -> tuple[Column, Column]:
     day = F.to_date(token, "yyyyMMdd")
     begin = F.when(six, month).when(eight, day)
     end = F.when(six, F.add_months(month, 1).cast("date")).when(eight, F.date_add(day, 1))
-    return begin.cast("timestamp"), end.cast("timestamp")
+    return utc_midnight(begin), utc_midnight(end)
+
+
+def utc_midnight(day: Column) -> Column:
+    """The begin of a day in UTC, whatever the session's time zone."""
+    return F.timestamp_micros(F.unix_date(day).cast("long") * 86_400_000_000)
 
 
 def keep_period(begin: Column, end: Column, start: Column, stop: Column, known: Column | None = None) -> Column:
@@ -43,12 +49,19 @@ def keep_period(begin: Column, end: Column, start: Column, stop: Column, known:
 
 def parse_time(text: Column) -> Column:
     """ISO text to UTC; "now" is the query's time; a text without a zone is UTC; else NULL."""
-    stripped = F.trim(text)
-    return F.when(F.lower(stripped) == "now", F.current_timestamp()).otherwise(F.try_to_timestamp(F.regexp_replace(stripped, "[Zz]$", "+00:00")))
+    stripped = F.regexp_replace(F.trim(text), "[Zz]$", "+00:00")
+    whole = F.when(stripped.rlike("^[0-9-]+$"), F.concat(stripped, F.lit("T00:00:00+00:00")))
+    whole = whole.when(stripped.rlike(r"[T ].*[+-]\d{2}(:?\d{2})?$"), stripped).otherwise(F.concat(stripped, F.lit("+00:00")))
+    return F.when(F.lower(F.trim(text)) == "now", F.current_timestamp()).otherwise(F.try_to_timestamp(whole))
 
 
 def iso_utc(t: Column) -> Column:
-    return F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """Whole seconds as yyyy-MM-ddTHH:mm:ssZ in UTC, whatever the session's time zone."""
+    seconds = F.floor(F.unix_micros(t.cast("timestamp")) / 1_000_000)
+    moved = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.floor(seconds / 86400).cast("int"), F.lit(0), F.lit(0), F.pmod(seconds, F.lit(86400)).cast("decimal(18,6)"))
+    # A time without a zone, or a date, is UTC already.
+    wall = F.when(F.typeof(t).isin("timestamp_ntz", "date"), t.cast("timestamp_ntz")).otherwise(moved)
+    return F.concat(F.translate(F.substring(wall.cast("string"), 1, 19), " ", "T"), F.lit("Z"))
 
 
 def valid_time(time: Column, step_seconds: Column) -> Column:
@@ -72,19 +85,22 @@ def store_names(root: Column, level: Column) -> Column:
 
 def parse_dims(value: Any) -> tuple[str, ...] | None:
     """Dimension names from a JSON list or string, a comma list, or a sequence of strings; else None."""
-    if isinstance(value, str):
-        value = value.strip()
-        if not value:
-            return None
+    listed = _listed(value.strip()) if isinstance(value, str) else value
+    named = isinstance(listed, (list, tuple)) and all(isinstance(x, str) for x in listed)
+    return tuple(listed) if named else None
+
+
+def _listed(text: str) -> Any:
+    """What a text stands for: its JSON, a JSON string being a list of one, else its parts between commas; None if empty."""
+    if text[:1] in ("", "[", '"', "{"):
         try:
-            value = json.loads(value)
+            got = json.loads(text or "null")
+            return [got] if isinstance(got, str) else got
         except json.JSONDecodeError:
-            value = [p for p in (x.strip() for x in value.split(",")) if p]
-        if isinstance(value, str):
-            value = [value]
-    if isinstance(value, (list, tuple)) and all(isinstance(x, str) for x in value):
-        return tuple(value)
-    return None
+            pass
+    elif text in ("null", "true", "false") or text.replace(".", "", 1).isdigit():
+        return None
+    return [part.strip() for part in text.split(",") if part.strip()]
 
 
 def dims_array(value: Column) -> Column:

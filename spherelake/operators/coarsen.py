@@ -57,9 +57,11 @@ def mean(df: DataFrame, values: list[str], batch: list[str], levels: int, fracti
 def mode(df: DataFrame, value: str, batch: list[str], levels: int, fraction: float = 0.5) -> DataFrame:
     """(batch..., cell, value): the most frequent valid child value, of equals the one of the lowest child."""
     need = needed(4**levels, fraction)
-    own = df.where(valid(F.col(value))).select(*batch, parent(F.col("cell"), levels).alias("_p"), F.col(value).alias("_v"), F.col("cell").alias("_c"))
-    counted = own.groupBy(*batch, "_p", "_v").agg(F.count(F.lit(1)).alias("_n"), F.min("_c").alias("_first"))
-    best = counted.groupBy(*batch, "_p").agg(F.sum("_n").alias("_all"), F.max_by("_v", F.struct(F.col("_n"), -F.col("_first"))).alias("_v"))
+    own = df.select(*batch, parent(F.col("cell"), levels).alias("_p"), F.when(valid(F.col(value)), F.col(value)).alias("_v"), F.col("cell").alias("_c"))
+    counted = own.groupBy(*batch, "_p", "_v").agg(F.count("_v").alias("_n"), F.min("_c").alias("_first"))
+    # A parent without a valid child stays, with nothing to choose from.
+    rank = F.when(F.col("_v").isNotNull(), F.struct(F.col("_n"), -F.col("_first")))
+    best = counted.groupBy(*batch, "_p").agg(F.sum("_n").alias("_all"), F.max_by("_v", rank).alias("_v"))
     return best.select(*batch, F.col("_p").alias("cell"), F.when(F.col("_all") >= need, F.col("_v")).alias(value))
 
 
@@ -73,22 +75,26 @@ def coarsen(
     fraction: float = 0.5,
     method: str | None = None,
     order: str = "nested",
+    dense: bool = False,
 ) -> DataFrame:
     """Coarsen straight from one level to another (over all 4^n children at once); dense.
 
-    Ring-ordered cells can't be coarsened; regrid them to the other level instead.
+    ``dense`` says that the input has every batch key with every cell already; then the
+    parents are all there too, and nothing is filled up.  Ring-ordered cells can't be
+    coarsened; regrid them to the other level instead.
     """
     if order != "nested":
         raise ValueError("only nested cells can be coarsened; regrid ring-ordered data to the level instead")
     if not 0 <= target < level:
         raise ValueError(f"the target level must be in [0, {level}), not {target}")
     if resolve_mode(how, method) == "mean":
-        return _dense(mean(df, values, batch, level - target, fraction), df, batch, target)
+        out = mean(df, values, batch, level - target, fraction)
+        return out if dense else _dense(out, df, batch, target)
     out = None
     for v in values:
         own = mode(df, v, batch, level - target, fraction)
         out = own if out is None else out.join(own, [*batch, "cell"], "full_outer")
-    return _dense(out, df, batch, target)
+    return out if dense else _dense(out, df, batch, target)
 
 
 def aggregator(name: str, v: Column, cell: Column, factor: int = 4) -> Column:

@@ -48,20 +48,32 @@ def bounds(axis: DataFrame, clamp: float | None = None) -> DataFrame:
     return out.select("idx", cut("lower"), cut("upper"))
 
 
+#: Degrees are put into so many bins each for sorting: a bin is a task's work, and all bins are few thousand rows.
+BINS = 10
+
+
+def gaps(values: DataFrame, column: str) -> DataFrame:
+    """(gap): the differences between neighbours among the distinct values, which are in degrees.
+
+    Values are sorted within bins, and the bins' ends with each other, so no task gets them all.
+    """
+    own = values.select(F.col(column).cast("double").alias("v")).where("v IS NOT NULL").distinct().withColumn("bin", F.floor(F.col("v") * BINS))
+    within = own.select((F.col("v") - F.lag("v").over(Window.partitionBy("bin").orderBy("v"))).alias("gap"))
+    ends = own.groupBy("bin").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    between = ends.select((F.col("lo") - F.lag("hi").over(Window.orderBy("bin"))).alias("gap"))
+    return within.unionByName(between).where("gap IS NOT NULL")
+
+
 def median_step(values: DataFrame, column: str) -> DataFrame:
     """One row (step): the median positive difference of the sorted distinct values, 0 if none."""
-    own = values.select(F.col(column).alias("v")).where("v IS NOT NULL").distinct()
-    step = F.col("v") - F.lag("v").over(Window.orderBy("v"))
-    return own.select(step.alias("d")).where("d > 0").agg(F.coalesce(F.median("d"), F.lit(0.0)).alias("step"))
+    return gaps(values, column).where("gap > 0").agg(F.coalesce(F.median("gap"), F.lit(0.0)).alias("step"))
 
 
 def lon_coverage(values: DataFrame, column: str = "lon") -> DataFrame:
     """One row (coverage): 360 less the largest gap round the circle, plus the median step, in [0, 360]."""
     own = values.select(F.pmod(F.col(column), F.lit(360.0)).alias("v")).where("v IS NOT NULL").distinct()
-    w = Window.orderBy("v")
-    first = F.first("v").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    gaps = own.select((F.coalesce(F.lead("v").over(w), first + 360.0) - F.col("v")).alias("gap"))
-    widest = gaps.agg(F.max("gap").alias("gap"), F.count(F.lit(1)).alias("n"))
+    ends = own.agg(F.count(F.lit(1)).alias("n"), (F.min("v") + 360.0 - F.max("v")).alias("last"))
+    widest = gaps(own, "v").agg(F.max("gap").alias("gap")).crossJoin(ends).select("n", F.greatest("gap", "last").alias("gap"))
     reach = F.greatest(F.lit(0.0), F.least(F.lit(360.0), 360.0 - F.col("gap") + F.col("step")))
     return widest.crossJoin(median_step(own, "v")).select(F.when(F.col("n") < 2, 0.0).otherwise(reach).alias("coverage"))
 

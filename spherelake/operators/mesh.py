@@ -9,6 +9,8 @@ from spherelake.functions import healpix
 from spherelake.functions.sphere import canonical_lon, centroid, counter_clockwise, signed_area, valid
 from spherelake.operators import grid as grids
 
+#: Bins of a degree of longitude in which nodes are numbered.
+BINS = 100
 #: Nodes are one if their coordinates agree to so many decimals (fixed value).
 DECIMALS = 12
 
@@ -74,8 +76,8 @@ def nodes_and_faces(faces: DataFrame) -> tuple[DataFrame, DataFrame]:
     corner = faces.select("face", F.posexplode(F.arrays_zip("vlon", "vlat")).alias("k", "v")).select("face", "k", lo.alias("klon"), la.alias("klat"), F.col("v.vlon").alias("lon"), F.col("v.vlat").alias("lat"))
     corner = corner.where(valid(F.col("klon")) & valid(F.col("klat")))
     keys = corner.groupBy("klon", "klat").agg(F.min(F.struct("face", "k", "lon", "lat")).alias("first"))
-    # Dense ids without one big window: rank within ranges, plus what the ranges before hold.
-    ranged = keys.repartitionByRange("klon", "klat").withColumn("part", F.spark_partition_id())
+    # Dense ids without one big window: rank within bins of longitude, plus what the bins before hold (some 36,000 rows).
+    ranged = keys.withColumn("part", F.floor(F.col("klon") * BINS))
     sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.withColumn("offset", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     rank = F.row_number().over(Window.partitionBy("part").orderBy("klon", "klat"))
@@ -88,9 +90,13 @@ def nodes_and_faces(faces: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def valid_faces(faces: DataFrame, n_nodes: int) -> DataFrame:
-    """Faces (face, node_ids) of nodes in range, without closing or repeated neighbours, of three nodes or more, none twice."""
-    ok = F.filter("node_ids", lambda v: v.isNotNull() & (v >= 0) & (v < n_nodes))
-    kept = faces.withColumn("n", ok)
+    """Faces (face, node_ids) without closing or repeated neighbours.
+
+    A face is rejected if it has fewer than three nodes, before or after that, a missing
+    node or one out of range, or a node twice.
+    """
+    broken = F.exists("node_ids", lambda v: v.isNull() | (v < 0) | (v >= n_nodes))
+    kept = faces.where((F.size("node_ids") >= 3) & ~broken).withColumn("n", F.col("node_ids"))
     new = F.filter("n", lambda v, i: (i == 0) | (v != F.get("n", i - 1)))
     kept = kept.withColumn("n", new)
     opened = F.when((F.size("n") > 1) & (F.get("n", F.lit(0)) == F.get("n", F.size("n") - 1)), F.slice("n", F.lit(1), F.greatest(F.size("n") - 1, F.lit(0)))).otherwise(F.col("n"))

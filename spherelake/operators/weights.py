@@ -13,13 +13,14 @@ from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spherelake.functions import healpix
 from spherelake.functions.sphere import npix, xyz
 from spherelake.functions.text import digest
-from spherelake.session import ship
+from spherelake.session import cut, ship
 
 METHODS = ("nearest", "conservative")
 _AROUND = [(a, b, c) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)]
@@ -55,7 +56,8 @@ def nearest(source: DataFrame, target: DataFrame, src: str = "src", dst: str = "
     Both tables have lon and lat.  Distances are compared by the dot product rounded to
     12 decimals; of equals the least src wins.  Targets look into the 27 cubes around
     them; those that find nothing within a cube's edge look again with cubes of twice
-    the edge, until all have found theirs.  One aggregate a round reaches the driver.
+    the edge, until all have found theirs.  What a round has found, and what is left, is
+    cut from its lineage, so every round's plan is as small as the first one's.
     """
     vector = lambda df, key: df.select(F.col(key).alias("id"), *[c.alias(n) for c, n in zip(xyz(F.col("lon"), F.col("lat")), "xyz")])
     sources, left = vector(source, src), vector(target, dst)
@@ -72,11 +74,11 @@ def nearest(source: DataFrame, target: DataFrame, src: str = "src", dst: str = "
         met = asks.join(homes, ["ix", "iy", "iz"]).select("id", F.struct((-dot).alias("far"), "src").alias("s")).groupBy("id").agg(F.min("s").alias("s"))
         # Within an edge (chord), nothing outside the 27 cubes is nearer, nor as near.
         near = met.where(2.0 + 2.0 * F.col("s.far") < F.lit(edge * edge * (1 - 1e-9)) if edge < 2 else F.lit(True))
-        found = near.select(F.col("id").alias("dst"), F.col("s.src").alias("src"))
+        found = cut(near.select(F.col("id").alias("dst"), F.col("s.src").alias("src")))
         done = found if done is None else done.unionByName(found)
         if edge >= 2:
             break
-        left = left.join(found.select(F.col("dst").alias("id")), "id", "left_anti")
+        left = cut(left.join(found.select(F.col("dst").alias("id")), "id", "left_anti"))
         if left.isEmpty():
             break
         edge = min(2.0, edge * 2)
@@ -86,14 +88,22 @@ def nearest(source: DataFrame, target: DataFrame, src: str = "src", dst: str = "
 # --- conservative -----------------------------------------------------------
 
 
-def polygon_vectors(lons: list[np.ndarray], lats: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Padded unit vectors [n, m, 3] and vertex counts; coincident neighbours are one vertex, and all run counter-clockwise."""
-    n = len(lons)
-    counts = np.fromiter(map(len, lons), np.int64, n)
+def vertices(batch: pa.RecordBatch, lon: str, lat: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All longitudes and latitudes of a batch's polygons, and how many each has; arrays that are NULL have none."""
+    flat = [batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in (lon, lat)]
+    return flat[0], flat[1], pc.fill_null(pc.list_value_length(batch.column(lon)), 0).to_numpy().astype(np.int64)
+
+
+def polygon_vectors(lons: np.ndarray, lats: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Padded unit vectors [n, m, 3] and vertex counts of polygons that follow each other in the arrays.
+
+    Coincident neighbours are one vertex, and all run counter-clockwise.
+    """
+    n = len(counts)
     m = int(counts.max()) if n else 0
     inside = np.arange(m) < counts[:, None]
     lo, la = np.zeros((n, m)), np.zeros((n, m))
-    lo[inside], la[inside] = np.radians(np.concatenate(lons)), np.radians(np.concatenate(lats))
+    lo[inside], la[inside] = np.radians(lons), np.radians(lats)
     v = np.stack([np.cos(la) * np.cos(lo), np.cos(la) * np.sin(lo), np.sin(la)], 2)
     before = v[np.arange(n)[:, None], (np.arange(m)[None, :] - 1) % counts[:, None]]
     keep = inside & (np.abs(v - before).max(2) > 1e-12)
@@ -165,24 +175,23 @@ def overlap(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> np.
 
 
 def _caps(faces: DataFrame, key: str) -> DataFrame:
-    """(key, vlon, vlat, x, y, z, r): the bounding cap of each face, its radius as a chord."""
+    """(k, x, y, z, r): the bounding cap of each face, its radius as a chord."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lons, lats = ([np.asarray(x, float) for x in batch.column(c).to_pylist()] for c in ("vlon", "vlat"))
-            v, n = polygon_vectors(lons, lats)
+            v, n = polygon_vectors(*vertices(batch, "vlon", "vlat"))
             inside = np.arange(v.shape[1]) < n[:, None]
             mean = v.sum(1)
             mean /= np.maximum(np.linalg.norm(mean, axis=1, keepdims=True), 1e-300)
             r = np.where(inside, np.linalg.norm(v - mean[:, None], axis=2), 0).max(1)
             ok = n >= 3
-            arrays = [batch.column("k"), batch.column("vlon"), batch.column("vlat"), *[pa.array(mean[:, i]) for i in range(3)], pa.array(r)]
-            yield pa.RecordBatch.from_arrays(arrays, ["k", "vlon", "vlat", "x", "y", "z", "r"]).filter(pa.array(ok))
+            arrays = [batch.column("k"), *[pa.array(mean[:, i]) for i in range(3)], pa.array(r)]
+            yield pa.RecordBatch.from_arrays(arrays, ["k", "x", "y", "z", "r"]).filter(pa.array(ok))
 
     ship(faces.sparkSession)
-    return faces.select(F.col(key).alias("k"), "vlon", "vlat").mapInArrow(run, "k bigint, vlon array<double>, vlat array<double>, x double, y double, z double, r double")
+    return faces.select(F.col(key).alias("k"), "vlon", "vlat").mapInArrow(run, "k bigint, x double, y double, z double, r double")
 
 
 def conservative(source: DataFrame, target: DataFrame, src: str = "face", dst: str = "face") -> DataFrame:
@@ -192,11 +201,11 @@ def conservative(source: DataFrame, target: DataFrame, src: str = "face", dst: s
     than three different vertices are ignored; a face as large as a hemisphere is an
     error.  Pairs come from an equi-join on lattice cubes whose edge holds the two
     caps' radii; source faces are grouped by the power of two of their radius, so that a
-    few large ones don't coarsen the lattice for all.
+    few large ones don't coarsen the lattice for all.  The search moves keys and caps
+    alone; the pairs that are left fetch their polygons.
     """
-    a, b = _caps(source, src), _caps(target, dst)
     size = F.ceil(F.log2(F.greatest("r", F.lit(1e-9)))).cast("int")
-    a = a.withColumn("size", size)
+    a, b = cut(_caps(source, src).withColumn("size", size)), cut(_caps(target, dst))
     largest = b.agg(F.max("r").alias("r")).first()["r"]
     if largest is None:
         return source.sparkSession.createDataFrame([], "dst bigint, src bigint, w double")
@@ -206,18 +215,20 @@ def conservative(source: DataFrame, target: DataFrame, src: str = "face", dst: s
     pairs: DataFrame | None = None
     for s in sizes:
         edge = s["r"] + largest + 1e-9
-        own = a.where(F.col("size") == s["size"]).select("k", "vlon", "vlat", "x", "y", "z", "r", *_cube(edge, F.col("x"), F.col("y"), F.col("z")), _around().alias("o"))
-        own = own.select(F.col("k").alias("src"), F.col("vlon").alias("alon"), F.col("vlat").alias("alat"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("z").alias("az"), F.col("r").alias("ar"), *[(F.col(i) + F.col(f"o.{c}")).alias(i) for i, c in zip(("ix", "iy", "iz"), "abc")])
-        to = b.select(F.col("k").alias("dst"), "vlon", "vlat", "x", "y", "z", "r", *_cube(edge, F.col("x"), F.col("y"), F.col("z")))
+        own = a.where(F.col("size") == s["size"]).select("k", "x", "y", "z", "r", *_cube(edge, F.col("x"), F.col("y"), F.col("z")), _around().alias("o"))
+        own = own.select(F.col("k").alias("src"), F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("z").alias("az"), F.col("r").alias("ar"), *[(F.col(i) + F.col(f"o.{c}")).alias(i) for i, c in zip(("ix", "iy", "iz"), "abc")])
+        to = b.select(F.col("k").alias("dst"), "x", "y", "z", "r", *_cube(edge, F.col("x"), F.col("y"), F.col("z")))
         gap = (F.col("x") - F.col("ax")) ** 2 + (F.col("y") - F.col("ay")) ** 2 + (F.col("z") - F.col("az")) ** 2
-        met = own.join(to, ["ix", "iy", "iz"]).where(gap <= (F.col("r") + F.col("ar") + 1e-9) ** 2).select("dst", "src", "alon", "alat", "vlon", "vlat")
+        met = own.join(to, ["ix", "iy", "iz"]).where(gap <= (F.col("r") + F.col("ar") + 1e-9) ** 2).select("dst", "src")
         pairs = met if pairs is None else pairs.unionByName(met)
+    pairs = pairs.join(source.select(F.col(src).alias("src"), F.col("vlon").alias("alon"), F.col("vlat").alias("alat")), "src")
+    pairs = pairs.join(target.select(F.col(dst).alias("dst"), "vlon", "vlat"), "dst").select("dst", "src", "alon", "alat", "vlon", "vlat")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 20_000):
                 part = batch.slice(at, 20_000)
-                va, na, vb, nb = (x for p in (("alon", "alat"), ("vlon", "vlat")) for x in polygon_vectors(*[[np.asarray(v, float) for v in part.column(c).to_pylist()] for c in p]))
+                (va, na), (vb, nb) = (polygon_vectors(*vertices(part, *p)) for p in (("alon", "alat"), ("vlon", "vlat")))
                 w = overlap(va, na, vb, nb) / area(vb, nb)
                 arrays = [part.column("dst"), part.column("src"), pa.array(w)]
                 yield pa.RecordBatch.from_arrays(arrays, ["dst", "src", "w"]).filter(pa.array(w > 1e-14))
@@ -231,7 +242,7 @@ def face_areas(faces: DataFrame, key: str = "face") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                v, n = polygon_vectors(*[[np.asarray(x, float) for x in batch.column(c).to_pylist()] for c in ("vlon", "vlat")])
+                v, n = polygon_vectors(*vertices(batch, "vlon", "vlat"))
                 yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(np.where(n >= 3, area(v, n), 0.0))], [key, "area"])
 
     ship(faces.sparkSession)
@@ -270,8 +281,12 @@ def check_unmapped(weights: DataFrame, spark: SparkSession, level: int, ignore:
 
 
 def grid_digest(points: DataFrame, *parameters) -> str:
-    """A key of a grid's geometry and parameters: order-free hashes of all coordinates, one row to the driver."""
-    row = points.agg(F.count(F.lit(1)).alias("n"), *[F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in points.columns], F.lit(s))).alias(f"h{s}") for s in range(2)]).first()
+    """A key of a grid's geometry and parameters: sums of hashes of all coordinates, one row to the driver.
+
+    The order of the points is nothing to it, but a point that occurs twice is.
+    """
+    hashes = [F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in points.columns], F.lit(s)), F.lit((1 << 31) - 1)) for s in range(4)]
+    row = points.agg(F.count(F.lit(1)).alias("n"), *[F.sum(h).alias(f"h{s}") for s, h in enumerate(hashes)]).first()
     return digest(list(row), sorted(points.columns), *parameters)
 
 

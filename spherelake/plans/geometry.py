@@ -36,31 +36,32 @@ def f4(spark, d):
 _V = vector_sql("lon", "lat")
 
 
-@query("F5_lonlat", f"WITH {OBS}, v AS (SELECT event_id, 3 * {_V[0]} AS x, 3 * {_V[1]} AS y, 3 * {_V[2]} AS z FROM obs WHERE abs(lat) < 89) SELECT event_id, {r9_sql('degrees(atan2(y, x))')} AS lon, {r9_sql('degrees(asin(z / sqrt(x * x + y * y + z * z)))')} AS lat FROM v")
+@query("F5_lonlat", f"WITH {OBS}, v AS (SELECT event_id, 3 * {_V[0]} AS x, 3 * {_V[1]} AS y, 3 * {_V[2]} AS z, abs(lat) >= 89 AS polar FROM obs) SELECT event_id, CASE WHEN polar THEN NULL ELSE {r9_sql('degrees(atan2(y, x))')} END AS lon, {r9_sql('degrees(asin(z / sqrt(x * x + y * y + z * z)))')} AS lat FROM v")
 def f5(spark, d):
-    own = obs(spark, d).where("abs(lat) < 89")
-    v = own.select("event_id", *[(3 * c).alias(n) for c, n in zip(sphere.xyz(F.col("lon"), F.col("lat")), "xyz")])
+    # So near a pole the ninth decimal of a longitude says nothing.
+    own = obs(spark, d)
+    v = own.select("event_id", (F.abs("lat") >= 89).alias("polar"), *[(3 * c).alias(n) for c, n in zip(sphere.xyz(F.col("lon"), F.col("lat")), "xyz")])
     lon, lat = sphere.lonlat(F.col("x"), F.col("y"), F.col("z"))
-    return v.select("event_id", r9(lon, "lon"), r9(lat, "lat"))
+    return v.select("event_id", F.when(~F.col("polar"), r9(lon, "lon")).alias("lon"), r9(lat, "lat"))
 
 
 _MEAN = "avg(vx) AS x, avg(vy) AS y, avg(vz) AS z"
 
 
-@query("F6_centroid", f"WITH {OBS}, v AS (SELECT event_id // 4 AS g, {_V[0]} AS vx, {_V[1]} AS vy, {_V[2]} AS vz FROM obs WHERE event_id < 4000), m AS (SELECT g, {_MEAN} FROM v GROUP BY g) SELECT g, round(degrees(atan2(y, x)), 6) AS lon, round(degrees(asin(z / sqrt(x * x + y * y + z * z))), 6) AS lat FROM m WHERE sqrt(x * x + y * y) > 0.05")
+@query("F6_centroid", f"WITH {OBS}, v AS (SELECT event_id // 4 AS g, {_V[0]} AS vx, {_V[1]} AS vy, {_V[2]} AS vz FROM obs), m AS (SELECT g, {_MEAN} FROM v GROUP BY g) SELECT g, CASE WHEN sqrt(x * x + y * y) > 0.05 THEN round(degrees(atan2(y, x)), 6) END AS lon, round(degrees(asin(z / sqrt(x * x + y * y + z * z))), 6) AS lat FROM m")
 def f6(spark, d):
-    own = obs(spark, d).where("event_id < 4000").groupBy(F.floor(F.col("event_id") / 4).alias("g")).agg(F.array_sort(F.collect_list(F.struct("event_id", "lon", "lat"))).alias("p"))
+    own = obs(spark, d).groupBy(F.floor(F.col("event_id") / 4).alias("g")).agg(F.array_sort(F.collect_list(F.struct("event_id", "lon", "lat"))).alias("p"))
     lons, lats = F.transform("p", lambda p: p["lon"]), F.transform("p", lambda p: p["lat"])
     lon, lat = sphere.centroid(lons, lats)
     x = F.aggregate(F.transform("p", lambda p: F.cos(F.radians(p["lat"])) * F.cos(F.radians(p["lon"]))), F.lit(0.0), lambda a, v: a + v) / F.size("p")
     y = F.aggregate(F.transform("p", lambda p: F.cos(F.radians(p["lat"])) * F.sin(F.radians(p["lon"]))), F.lit(0.0), lambda a, v: a + v) / F.size("p")
-    return own.where(F.sqrt(x * x + y * y) > 0.05).select("g", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
+    return own.select("g", F.when(F.sqrt(x * x + y * y) > 0.05, F.round(lon, 6)).alias("lon"), F.round(lat, 6).alias("lat"))
 
 
-@query("F7_ccw", "SELECT event_id AS face, event_id % 2 = 1 AS turned FROM events WHERE event_id < 500")
+@query("F7_ccw", "SELECT event_id AS face, event_id % 2 = 1 AS turned FROM events")
 def f7(spark, d):
     # Squares round a centre; every other one runs clockwise.
-    own = table(spark, d, "events").where("event_id < 500").select(F.col("event_id").alias("face"), ((F.col("event_id") * 7) % 360 - 180.0).alias("lon"), ((F.col("event_id") * 11) % 160 - 80.0).alias("lat"))
+    own = table(spark, d, "events").select(F.col("event_id").alias("face"), ((F.col("event_id") * 7) % 360 - 180.0).alias("lon"), ((F.col("event_id") * 11) % 160 - 80.0).alias("lat"))
     corner = lambda c, s: F.array(*[F.col(c) + v for v in s])
     own = own.withColumns({"vlon": corner("lon", (-1, 1, 1, -1)), "vlat": corner("lat", (-1, -1, 1, 1))})
     odd = F.col("face") % 2 == 1
@@ -138,11 +139,11 @@ def w2(spark, d):
     return grid.bounds(lat_axis(spark), clamp=90.0).select(F.col("idx").cast("long").alias("idx"), "lower", "upper")
 
 
-@query("W3_wrapped_gap", "WITH d AS (SELECT DISTINCT (l_partkey * 37) % 360 AS v FROM lineitem WHERE l_partkey % 9 = 0) SELECT v, coalesce(lead(v) OVER (ORDER BY v), first(v) OVER (ORDER BY v) + 360) - v AS gap FROM d")
+@query("W3_wrapped_gap", "WITH d AS (SELECT DISTINCT (l_partkey * 37) % 360 AS v FROM lineitem) SELECT v, coalesce(lead(v) OVER (ORDER BY v), first(v) OVER (ORDER BY v) + 360) - v AS gap FROM d")
 def w3(spark, d):
     from pyspark.sql import Window
 
-    own = table(spark, d, "lineitem").where("l_partkey % 9 = 0").select(((F.col("l_partkey") * 37) % 360).alias("v")).distinct()
+    own = table(spark, d, "lineitem").select(((F.col("l_partkey") * 37) % 360).alias("v")).distinct()
     w = Window.orderBy("v")
     return own.select("v", (F.coalesce(F.lead("v").over(w), F.first("v").over(w) + 360) - F.col("v")).alias("gap"))
 
@@ -158,13 +159,13 @@ def w4(spark, d):
 
 def quads(spark, d):
     """Faces of a lattice whose corners are shared."""
-    own = table(spark, d, "part").where("p_partkey <= 400").select(F.col("p_partkey").alias("face"), (F.floor(F.col("p_partkey") / 20) % 20).alias("y"), (F.col("p_partkey") % 20).alias("x"))
-    y, x = F.col("y") * 4.0 - 40, F.col("x") * 4.0 - 40
-    return own.select("face", F.array(x, x + 4, x + 4, x).alias("vlon"), F.array(y, y, y + 4, y + 4).alias("vlat"))
+    own = table(spark, d, "part").select(F.col("p_partkey").alias("face"), (F.floor(F.col("p_partkey") / 100) % 150).alias("y"), (F.col("p_partkey") % 100).alias("x"))
+    y, x = F.col("y") * 1.0 - 75, F.col("x") * 3.0 - 150
+    return own.select("face", F.array(x, x + 3, x + 3, x).alias("vlon"), F.array(y, y, y + 1, y + 1).alias("vlat"))
 
 
-_QUADS = """quads AS (SELECT p_partkey AS face, ((p_partkey // 20) % 20) * 4.0::DOUBLE - 40 AS y, (p_partkey % 20) * 4.0::DOUBLE - 40 AS x FROM part WHERE p_partkey <= 400),
-corner AS (SELECT face, 0 AS k, x AS lon, y AS lat FROM quads UNION ALL SELECT face, 1, x + 4, y FROM quads UNION ALL SELECT face, 2, x + 4, y + 4 FROM quads UNION ALL SELECT face, 3, x, y + 4 FROM quads),
+_QUADS = """quads AS (SELECT p_partkey AS face, ((p_partkey // 100) % 150) * 1.0::DOUBLE - 75 AS y, (p_partkey % 100) * 3.0::DOUBLE - 150 AS x FROM part),
+corner AS (SELECT face, 0 AS k, x AS lon, y AS lat FROM quads UNION ALL SELECT face, 1, x + 3, y FROM quads UNION ALL SELECT face, 2, x + 3, y + 1 FROM quads UNION ALL SELECT face, 3, x, y + 1 FROM quads),
 nodes AS (SELECT row_number() OVER (ORDER BY lon, lat) - 1 AS node_id, lon, lat FROM (SELECT DISTINCT lon, lat FROM corner))"""
 
 
@@ -186,15 +187,15 @@ def a14(spark, d):
     return mesh.nodes_and_faces(quads(spark, d))[1].select("face", r9(F.col("lon"), "lon"), r9(F.col("lat"), "lat"))
 
 
-_RAW_FACES = "raw AS (SELECT o_orderkey AS face, list(l_suppkey % 13 ORDER BY l_linenumber, l_suppkey % 13) AS n FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderkey <= 3000 GROUP BY 1)"
-_KEPT = f"""WITH {_RAW_FACES}, a AS (SELECT face, list_filter(n, lambda v: v < 12) AS n FROM raw),
+_RAW_FACES = "raw AS (SELECT o_orderkey AS face, list(l_suppkey % 13 ORDER BY l_linenumber, l_suppkey % 13) AS n FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1)"
+_KEPT = f"""WITH {_RAW_FACES}, a AS (SELECT face, n FROM raw WHERE len(n) >= 3 AND NOT list_contains(n, 12)),
 b AS (SELECT face, list_filter(n, lambda v, i: i = 1 OR v != n[i - 1]) AS n FROM a),
 c AS (SELECT face, CASE WHEN len(n) > 1 AND n[1] = n[len(n)] THEN n[1:len(n) - 1] ELSE n END AS n FROM b),
 kept AS (SELECT face, n FROM c WHERE len(n) >= 3 AND len(list_distinct(n)) = len(n))"""
 
 
 def raw_faces(spark, d):
-    met = table(spark, d, "orders").where("o_orderkey <= 3000").join(table(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+    met = table(spark, d, "orders").join(table(spark, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
     packed = met.groupBy(F.col("o_orderkey").alias("face")).agg(F.array_sort(F.collect_list(F.struct("l_linenumber", (F.col("l_suppkey") % 13).alias("n")))).alias("s"))
     return packed.select("face", F.transform("s", lambda s: s["n"]).alias("node_ids"))
 
@@ -232,7 +233,7 @@ def j6(spark, d):
 def w8(spark, d):
     own = quads(spark, d)
     # Vertices in another order, to be put right.
-    mixed = own.select("face", F.array(*[F.get("vlon", F.lit(i)) for i in (2, 0, 3, 1)]).alias("vlon"), F.array(*[F.get("vlat", F.lit(i)) for i in (2, 0, 3, 1)]).alias("vlat"), (F.get("vlon", F.lit(0)) + 2).alias("lon"), (F.get("vlat", F.lit(0)) + 2).alias("lat"))
+    mixed = own.select("face", F.array(*[F.get("vlon", F.lit(i)) for i in (2, 0, 3, 1)]).alias("vlon"), F.array(*[F.get("vlat", F.lit(i)) for i in (2, 0, 3, 1)]).alias("vlat"), (F.get("vlon", F.lit(0)) + 1.5).alias("lon"), (F.get("vlat", F.lit(0)) + 0.5).alias("lat"))
     got = mesh.ordered_vertices(mixed)
     return got.select("face", F.array_join(F.transform(F.arrays_zip("vlon", "vlat"), lambda v: F.concat_ws(" ", v["vlon"].cast("int"), v["vlat"].cast("int"))), ",").alias("vertices"))
 
@@ -252,7 +253,14 @@ def g1_nodes(spark, d):
     return got.agg(F.lit(0).alias("z"), F.count(F.lit(1)).alias("n_faces")).crossJoin(got.select(F.explode("node_ids").alias("n")).agg(F.countDistinct("n").alias("n_nodes"))).select("n_nodes", "n_faces")
 
 
-@query("G2_curvilinear_mesh")
+#: Sines of degrees bend the grid; a corner is the mean direction of the centres around it.
+_G2 = f"""WITH {GRID}, curved AS (SELECT src, y, x, least(90, greatest(-90, lat + 2 * sin(radians(lon)))) AS lat, lon + 2 * cos(radians(lat)) AS lon FROM grid), v AS (SELECT y, x, cos(radians(lat)) * cos(radians(lon)) AS vx, cos(radians(lat)) * sin(radians(lon)) AS vy, sin(radians(lat)) AS vz FROM curved),
+corner AS (SELECT y + a AS cy, x + b AS cx, avg(vx) AS vx, avg(vy) AS vy, avg(vz) AS vz FROM v, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS o(a, b) GROUP BY 1, 2)
+SELECT c.src AS face, 4 AS n, {r9_sql('degrees(atan2(p.vy, p.vx))')} AS lon0, {r9_sql('degrees(asin(q.vz / sqrt(q.vx * q.vx + q.vy * q.vy + q.vz * q.vz)))')} AS lat2
+FROM curved c JOIN corner p ON p.cy = c.y AND p.cx = c.x JOIN corner q ON q.cy = c.y + 1 AND q.cx = c.x + 1"""
+
+
+@query("G2_curvilinear_mesh", _G2)
 def g2(spark, d):
     from spherelake.plans.aggregates import curved
 
@@ -273,7 +281,7 @@ def g5(spark, d):
     return nodes.agg(F.count(F.lit(1)).alias("n_nodes")).crossJoin(faces.agg(F.count(F.lit(1)).alias("n_faces")))
 
 
-@query("P10_finite_vertices", "SELECT p_partkey AS face FROM part WHERE p_partkey <= 400 AND p_partkey % 3 = 0")
+@query("P10_finite_vertices", "SELECT p_partkey AS face FROM part WHERE p_partkey % 3 = 0")
 def p10(spark, d):
     from spherelake.functions.sphere import valid
 
@@ -283,10 +291,11 @@ def p10(spark, d):
     return broken.where(F.size(finite) < 3).select("face")
 
 
-@query("F31_ragged_and_padded", f"WITH {_RAW_FACES} SELECT face, array_to_string(list_concat(n, list_transform(range(8 - len(n)), lambda i: -1)), ',') AS padded FROM raw WHERE len(n) <= 8")
+@query("F31_ragged_and_padded", f"WITH {_RAW_FACES} SELECT face, array_to_string(list_concat(n, list_transform(range((SELECT max(len(n)) FROM raw) - len(n)), lambda i: -1)), ',') AS padded FROM raw")
 def f31(spark, d):
-    own = raw_faces(spark, d).where(F.size("node_ids") <= 8)
-    padded = F.concat("node_ids", F.array_repeat(F.lit(-1).cast("long"), F.lit(8) - F.size("node_ids")))
+    own = raw_faces(spark, d)
+    own = own.crossJoin(F.broadcast(own.agg(F.max(F.size("node_ids")).alias("width"))))
+    padded = F.concat("node_ids", F.array_repeat(F.lit(-1).cast("long"), F.col("width") - F.size("node_ids")))
     back = F.filter(padded, lambda v: v >= 0)
     return own.where(back == F.col("node_ids")).select("face", F.array_join(F.transform(padded, lambda v: v.cast("string")), ",").alias("padded"))
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from spherelake.functions import healpix
 from spherelake.functions.sphere import valid
 from spherelake.operators import apply, grid, mesh, pyramid, weights as weights_
-from spherelake.plans.fixtures import FIELD, GRID, WEIGHTS, centres_sql, field, lat_axis, lon_axis, nearest_sql, obs, OBS, query, r9, r9_sql, table, weights
+from spherelake.plans.fixtures import FIELD, GRID, WEIGHTS, centres_sql, field, lat_axis, lon_axis, nearest_sql, obs, OBS, query, r9, r9_sql, table, vector_sql, weights
+from spherelake.plans.geometry import _RING
 from spherelake.sources import merge
 
 
@@ -34,10 +35,10 @@ for _level in (1, 2, 3):
 _A, _B = "cos(radians(e.lat)) * cos(radians(e.lon))", "cos(radians(g.lat)) * cos(radians(g.lon))"
 
 
-@query("J3_nearest_points", f"WITH {GRID}, {OBS}, e AS (SELECT * FROM obs WHERE event_id % 10 = 3), pairs AS (SELECT event_id, src, round({_A} * {_B} + cos(radians(e.lat)) * sin(radians(e.lon)) * (cos(radians(g.lat)) * sin(radians(g.lon))) + sin(radians(e.lat)) * sin(radians(g.lat)), 12) AS dot FROM e CROSS JOIN grid g) SELECT event_id, src FROM pairs QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY dot DESC, src) = 1")
+@query("J3_nearest_points", f"WITH {GRID}, {OBS}, e AS (SELECT * FROM obs), pairs AS (SELECT event_id, src, round({_A} * {_B} + cos(radians(e.lat)) * sin(radians(e.lon)) * (cos(radians(g.lat)) * sin(radians(g.lon))) + sin(radians(e.lat)) * sin(radians(g.lat)), 12) AS dot FROM e CROSS JOIN grid g) SELECT event_id, src FROM pairs QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY dot DESC, src) = 1")
 def j3_points(spark, d):
-    # Scattered points as targets, one in ten of the stations.
-    target = obs(spark, d).where("event_id % 10 = 3").select(F.col("event_id").alias("dst"), "lon", "lat")
+    # Scattered points as targets.
+    target = obs(spark, d).select(F.col("event_id").alias("dst"), "lon", "lat")
     got = weights_.nearest(grid.regular(lat_axis(spark), lon_axis(spark)), target)
     return got.select(F.col("dst").alias("event_id"), "src")
 
@@ -207,8 +208,11 @@ def s8(spark, d):
 
 @query("P1_pass_through", f"WITH {FIELD}, s AS (SELECT t, 10 * t AS static FROM field GROUP BY t) SELECT t, static FROM s")
 def p1(spark, d):
-    # A variable without the source dimension stays as it is, in a table of its own.
-    return field(spark, d).select("t").distinct().select("t", (F.col("t") * 10).alias("static"))
+    # A variable without the source dimension stays as it is, beside one that is regridded.
+    static = field(spark, d).select("t").distinct().select("t", (F.col("t") * 10).alias("static"))
+    prepared = pyramid.Prepared(weights(spark), pyramid.WeightsMeta("nearest", 1, source_size=288))
+    got = pyramid.apply_dataset({"v": field(spark, d), "static": static}, prepared, ["t"])
+    return got["static"].join(got["v"].select("t").distinct(), "t", "left_semi")
 
 
 @query("P2_valid", f"WITH {FIELD} SELECT t, count(v) AS n_valid, count(*) - count(v) AS n_missing FROM field GROUP BY t")
@@ -264,13 +268,13 @@ def o4(spark, d):
     return field(spark, d).where("t < 5")
 
 
-@query("O6_result_order", "SELECT event_id AS item_index, event_type AS variable, CASE WHEN event_id % 3 > 0 THEN strftime(ts, '%Y-%m-%d') END AS time_start, row_number() OVER (ORDER BY coalesce(CASE WHEN event_id % 3 > 0 THEN strftime(ts, '%Y-%m-%d') END, ''), event_type, event_id) AS place FROM events WHERE event_id < 300")
+@query("O6_result_order", "SELECT event_id AS item_index, event_type AS variable, CASE WHEN event_id % 3 > 0 THEN strftime(ts, '%Y-%m-%d') END AS time_start, row_number() OVER (ORDER BY coalesce(CASE WHEN event_id % 3 > 0 THEN strftime(ts, '%Y-%m-%d') END, ''), event_type, event_id) AS place FROM events")
 def o6(spark, d):
     from pyspark.sql import Window
 
     from spherelake.sources.plan import result_order
 
-    own = table(spark, d, "events").where("event_id < 300").select(F.col("event_id").alias("item_index"), F.col("event_type").alias("variable"), F.when(F.col("event_id") % 3 > 0, F.date_format("ts", "yyyy-MM-dd")).alias("time_start"))
+    own = table(spark, d, "events").select(F.col("event_id").alias("item_index"), F.col("event_type").alias("variable"), F.when(F.col("event_id") % 3 > 0, F.date_format("ts", "yyyy-MM-dd")).alias("time_start"))
     return result_order(own).withColumn("place", F.row_number().over(Window.orderBy(F.coalesce("time_start", F.lit("")), "variable", "item_index")).cast("long"))
 
 
@@ -288,7 +292,67 @@ def r4_field(spark, d):
     return pyramid.regrid(field(spark, d), source, 2, ["v"], ["t"]).select("t", "cell", r9(F.col("v"), "v"))
 
 
-@query("R4_regrid_ring", None)
+_RING_NEAREST = f"""WITH {GRID}, {FIELD}, c AS (SELECT cell, lon_raw AS lon, lat_raw AS lat FROM ({_RING})),
+pairs AS (SELECT cell, src, round({' + '.join(f"({a}) * ({b})" for a, b in zip(vector_sql("c.lon", "c.lat"), vector_sql("g.lon", "g.lat")))}, 12) AS dot FROM c CROSS JOIN grid g),
+near AS (SELECT cell, src FROM pairs QUALIFY row_number() OVER (PARTITION BY cell ORDER BY dot DESC, src) = 1)
+SELECT t, cell, v FROM (SELECT DISTINCT t FROM field) CROSS JOIN near LEFT JOIN field USING (t, src)"""
+
+
+@query("R4_regrid_ring", _RING_NEAREST)
 def r4_ring(spark, d):
     source = pyramid.Source("regular", lat_axis(spark), lon_axis(spark))
     return pyramid.regrid(field(spark, d), source, 2, ["v"], ["t"], method="nearest", nest=False).select("t", "cell", "v")
+
+
+_MEANS = f"WITH {FIELD}, {WEIGHTS}, m AS (SELECT t, dst, sum(w * v) / sum(w) AS v FROM field JOIN weights USING (src) WHERE v IS NOT NULL GROUP BY t, dst) SELECT t, dst AS cell, v FROM (SELECT DISTINCT t FROM field) CROSS JOIN (SELECT DISTINCT dst FROM weights) LEFT JOIN m USING (t, dst)"
+
+
+@query("R3_weight_file", _MEANS)
+def r3_file(spark, d):
+    # Weights of another tool, counted from one, and data with the grid's own dimensions.
+    from spherelake.plans.tables import scratch
+
+    path = f"{scratch(spark)}/weights"
+    weights(spark).select((F.col("dst") + 1).cast("int").alias("row"), (F.col("src") + 1).cast("int").alias("col"), F.col("w").alias("S")).write.parquet(path)
+    prepared = pyramid.open_weights(spark, path, pyramid.WeightsMeta("conservative", 1, source_dims=("y", "x"), source_size=288))
+    own = field(spark, d).select("t", F.floor(F.col("src") / 24).cast("int").alias("y"), (F.col("src") % 24).cast("int").alias("x"), "v")
+    return pyramid.apply_prepared(own, prepared, ["v"], ["t"]).select("t", "cell", "v").where("cell < 48")
+
+
+@query("F32_dims_by_size", _MEANS)
+def f32(spark, d):
+    # Nothing says which dimension is the source's but its size.
+    prepared = pyramid.Prepared(weights(spark), pyramid.WeightsMeta("nearest", 1, source_dims=(), source_size=288))
+    own = field(spark, d).select("t", F.col("src").alias("ncells"), "v")
+    return pyramid.apply_prepared(own, prepared, ["v"], ["t"]).select("t", "cell", "v")
+
+
+@query("G9_sources_as_they_come", "SELECT * FROM (VALUES ('cells', 'unstructured', 288, true), ('radians', 'regular', 288, true), ('rotated', 'curvilinear', 288, false)) AS t(name, kind, size, is_global)")
+def g9(spark, d):
+    # The rotated grid's latitudes are a hundredth of a degree apart, so by the median step it ends short of the poles.
+    own = grid.regular(lat_axis(spark), lon_axis(spark))
+    tables = {
+        "radians": own.select(F.col("y").alias("nj"), F.col("x").alias("ni"), F.radians("lat").alias("latitude"), F.radians("lon").alias("longitude")),
+        "rotated": own.select("y", "x", (F.col("lat") + F.col("x") / 100).alias("nav_lat"), F.col("lon").alias("nav_lon")),
+        "cells": own.select(F.col("src").alias("ncells"), F.col("lat").alias("clat"), F.col("lon").alias("clon")),
+    }
+    rows = []
+    for name, df in tables.items():
+        about = pyramid.Source.of(df).describe()
+        rows.append((name, about["kind"], int(about["size"]), about["is_global"]))
+    return spark.createDataFrame(rows, "name string, kind string, size int, is_global boolean")
+
+
+@query("R11_level_metadata", "SELECT range::INT AS level, 1 << range::INT AS nside, 'nested' AS order_, CASE WHEN range < 2 THEN range::INT + 1 END AS coarsened_from, 12 * (1 << (2 * range::INT)) * (SELECT count(DISTINCT CAST(ts AS DATE)) FROM events) AS n FROM range(3)")
+def r11(spark, d):
+    from spherelake.plans.tables import scratch
+    from spherelake.sources import store
+
+    root = scratch(spark)
+    data = field(spark, d).withColumnRenamed("t", "time_idx")
+    made = pyramid.write_pyramid(data, pyramid.Source("regular", lat_axis(spark), lon_axis(spark)), ["v"], ["time_idx"], root, max_level=2, method="nearest")
+    rows = []
+    for level in made:
+        meta = store.read_metadata(spark, root, level)
+        rows.append((level, meta["crs"]["nside"], meta["crs"]["order"], meta.get("coarsened_from_level"), store.read_level(spark, root, level).count()))
+    return spark.createDataFrame(rows, "level int, nside int, order_ string, coarsened_from int, n long")

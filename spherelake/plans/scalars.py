@@ -21,9 +21,12 @@ def f16(spark, d):
     return own.select("event_type", F.sha2(F.encode(joined, "UTF-8"), 256).alias("digest"))
 
 
-@query("F18_sanitise", r"SELECT c_custkey, regexp_replace(regexp_replace(c_name || ' / ' || c_mktsegment || '!', '[^A-Za-z0-9._-]+', '_', 'g'), '^_+|_+$', '', 'g') AS key FROM customer")
+_KEYS = "CASE c_custkey % 4 WHEN 0 THEN '.' || c_name || ' / ' || c_mktsegment || '!.' WHEN 1 THEN c_name || '..a._' WHEN 2 THEN '._ ' || c_mktsegment ELSE ' ._!' END"
+
+
+@query("F18_sanitise", f"SELECT c_custkey, coalesce(nullif(trim(regexp_replace({_KEYS}, '[^A-Za-z0-9._-]+', '_', 'g'), '._'), ''), 'source') AS key FROM customer")
 def f18(spark, d):
-    return table(spark, d, "customer").select("c_custkey", text.sanitise(F.concat_ws(" / ", "c_name", F.concat("c_mktsegment", F.lit("!")))).alias("key"))
+    return table(spark, d, "customer").select("c_custkey", text.sanitise(F.expr(_KEYS)).alias("key"))
 
 
 _NAMES = "names AS (SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'a_' || strftime(ts, '%Y%m') || '_x.grb' WHEN 1 THEN 'a_' || strftime(ts, '%Y%m%d') || '_x.grb' ELSE 'a_static.grb' END AS name FROM events)"
@@ -50,10 +53,10 @@ def f21(spark, d):
     return table(spark, d, "nation").select("n_nationkey", text.add_cell_method(old).alias("methods"))
 
 
-@query("F22_parse_time", "SELECT event_id, epoch_us(date_trunc('second', ts)) AS us FROM events WHERE event_id < 200")
+@query("F22_parse_time", "SELECT event_id, epoch_us(date_trunc('second', ts)) AS us FROM events")
 def f22(spark, d):
     shown = F.when(F.col("event_id") % 2 == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
-    return table(spark, d, "events").where("event_id < 200").select("event_id", F.unix_micros(text.parse_time(shown)).alias("us"))
+    return table(spark, d, "events").select("event_id", F.unix_micros(text.parse_time(shown)).alias("us"))
 
 
 _PERIOD = f"""WITH {_NAMES}, k AS (SELECT event_id, nullif(regexp_extract(name, '_(\\d{{6}}|\\d{{8}})_', 1), '') AS token FROM names),
@@ -79,9 +82,9 @@ def f24(spark, d):
     return table(spark, d, "orders").select("o_orderkey", text.iso_utc(F.col("o_orderdate")).alias("iso"))
 
 
-@query("F25_time_storage", "SELECT event_id, epoch_us(date_trunc('minute', ts)) // 1000000 AS time, 'seconds since 1970-01-01 00:00:00' AS units FROM events WHERE event_id < 1000")
+@query("F25_time_storage", "SELECT event_id, epoch_us(date_trunc('minute', ts)) // 1000000 AS time, 'seconds since 1970-01-01 00:00:00' AS units FROM events")
 def f25(spark, d):
-    own = table(spark, d, "events").where("event_id < 1000").select("event_id", F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("time"))
+    own = table(spark, d, "events").select("event_id", F.date_trunc("minute", F.col("ts").cast("timestamp")).alias("time"))
     got, attrs = store.time_storage(own)
     return got.withColumn("units", F.lit(attrs["units"]))
 
@@ -128,16 +131,30 @@ def f30(spark, d):
     return table(spark, d, "embeddings").select("vec_id", F.posexplode("embedding").alias("i", "v"))
 
 
-@query("S10_hrefs", r"""SELECT DISTINCT unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)) AS href FROM pages""")
+#: Listings: a page's own links, and others spelled as listings may spell them.
+_MORE = """ '<A data-href="no.grb" HREF = /a' || page_id || '.grb>x</A><a href="/b' || page_id || '?x=1&amp;y=&#50;.grb">y</a><a href="">z</a><a name=q>q</a><!-- <a href="/c.grb"> --><link href="/d.grb"><a class="href" href="/e' || page_id || '.">e</a>' """
+#: The anchors' attributes, then the value of the one that is named href.
+_HREFS = rf"""WITH shown AS (SELECT regexp_replace(html || {_MORE}, '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g') AS html FROM pages),
+anchors AS (SELECT unnest(regexp_extract_all(html, '<[aA](\s[^>]*)>', 1)) AS attributes FROM shown),
+found AS (SELECT regexp_extract(attributes, '\s[hH][rR][eE][fF]\s*=\s*("[^"]*"|[^\s>"]+)', 1) AS href FROM anchors),
+bare AS (SELECT replace(replace(trim(href, '"'), '&#50;', '2'), '&amp;', '&') AS href FROM found)
+SELECT DISTINCT href FROM bare WHERE href <> ''"""
+
+
+def listings(spark, d):
+    return table(spark, d, "pages").withColumn("html", F.concat(F.col("html"), F.expr(_MORE)))
+
+
+@query("S10_hrefs", _HREFS)
 def s10(spark, d):
-    return plan.hrefs(table(spark, d, "pages"))
+    return plan.hrefs(listings(spark, d))
 
 
-@query("O5_sorted_hrefs", r"""SELECT href, row_number() OVER (ORDER BY href) - 1 AS place FROM (SELECT DISTINCT unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)) AS href FROM pages) WHERE href LIKE '%.'""")
+@query("O5_sorted_hrefs", f"SELECT href, row_number() OVER (ORDER BY href) - 1 AS place FROM ({_HREFS}) WHERE href LIKE '%.'")
 def o5(spark, d):
     from pyspark.sql import Window
 
-    return plan.hrefs(table(spark, d, "pages"), suffix=".").withColumn("place", (F.row_number().over(Window.orderBy("href")) - 1).cast("long"))
+    return plan.hrefs(listings(spark, d), suffix=".").withColumn("place", (F.row_number().over(Window.orderBy("href")) - 1).cast("long"))
 
 
 @query("S11_catalog_links", "SELECT 'https://x.example/' || event_type || '.zarr' AS href FROM events GROUP BY event_type")

@@ -1,4 +1,4 @@
-"""Session defaults.  A cluster's own settings always win: nothing here overrides them."""
+"""Session defaults, which never override a cluster's own settings, and lineage cuts."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "spherelake", cpus: int | None = None) -> SparkSession:
@@ -28,6 +28,21 @@ def get_session(app: str = "spherelake", cpus: int | None = None) -> SparkSessio
     )
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
+
+    The folder is spark.checkpoint.dir.  Where that is unset, a temporary one is made on
+    one machine (tests), and a cluster raises: its executors share no such folder.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        folder = sc.getConf().get("spark.checkpoint.dir")
+        if not folder and sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
+    return df.checkpoint(eager=True)
+
+
 _shipped: set[str] = set()
 
 

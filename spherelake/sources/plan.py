@@ -16,12 +16,35 @@ ITEM_FIELDS = ("item_index", "variable", "frequency", "url", "filename", "relati
 
 
 def hrefs(pages: DataFrame, html: str = "html", suffix: str = "", keep: list[str] | None = None) -> DataFrame:
-    """(keep..., href): the distinct link targets of listings that end in a suffix."""
-    found = F.regexp_extract_all(F.col(html), F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""), F.lit(1))
-    out = pages.select(*(keep or []), F.explode(found).alias("href"))
+    """(keep..., href): the distinct link targets of listings that end in a suffix.
+
+    A target is the value of an anchor's own ``href``, quoted or not, with its character
+    references decoded; empty ones aren't targets.  Comments, scripts and styles hold none.
+    """
+    shown = F.regexp_replace(F.col(html), r"(?is)<!--.*?(-->|$)|<(script|style)\b.*?(</\2\s*>|$)", "")
+    anchors = F.regexp_extract_all(shown, F.lit(r"""(?is)<a(\s(?:[^>"']|"[^"]*"|'[^']*')*)>"""), F.lit(1))
+    out = pages.select(*(keep or []), F.explode(anchors).alias("_attributes"))
+    attribute = F.explode(F.regexp_extract_all("_attributes", F.lit(r"""(?s)([^\s=/>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?)"""), F.lit(1)))
+    out = out.select(*(keep or []), attribute.alias("_attribute")).where(F.col("_attribute").rlike(r"(?i)^href\s*="))
+    value = F.regexp_replace("_attribute", r"""(?is)^href\s*=\s*|["']""", "")
+    out = out.select(*(keep or []), unescaped(value).alias("href")).where("href != ''")
     return (out.where(F.col("href").endswith(suffix)) if suffix else out).distinct()
 
 
+def unescaped(text: Column) -> Column:
+    """A text with the character references that URLs have decoded: by number, and amp, lt, gt, quot, apos."""
+
+    def put(to: Column, ref: Column) -> Column:
+        digits = F.regexp_extract(ref, "([0-9a-fA-F]+)", 1)
+        code = F.when(F.lower(ref).startswith("&#x"), F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+        return F.replace(to, ref, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    out = F.aggregate(F.array_distinct(F.regexp_extract_all(text, F.lit("(&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});)"), F.lit(1))), text, put)
+    for name, c in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(c))
+    return out
+
+
 def catalog_links(documents: DataFrame, column: str, media: str | None = None) -> DataFrame:
     """(href): link targets of catalogue documents, of a media type if given."""
     links = F.from_json(column, "struct<links: array<struct<rel: string, href: string, type: string>>>")

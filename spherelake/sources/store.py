@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from spherelake.functions.sizing import chunk_sizes, rows_per_file
 from spherelake.functions.sphere import npix
-from spherelake.functions.text import store_name
+from spherelake.functions.text import parse_time, store_name
 from spherelake.sources import merge
 from spherelake.sources.readers import open_existing, path_exists
 
@@ -39,8 +39,9 @@ def save_level(df: DataFrame, root: str, level: int, mode: str = "a", region: tu
     """Write a level's table.
 
     "w" replaces it, "a" appends, "r+" replaces the blocks of the times in ``region``
-    (begin, end), of which all of a block's times must be given.  Columns without the
-    time index aren't part of a region.  ``encoding`` are writer options.
+    (begin, end), of which all of a block's times must be given: a region begins with a
+    block, and ends with one or where the store's times end.  Columns without the time
+    index aren't part of a region.  ``encoding`` are writer options.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; use one of {sorted(MODES)}")
@@ -55,8 +56,13 @@ def save_level(df: DataFrame, root: str, level: int, mode: str = "a", region: tu
     if mode == "r+":
         if region is None:
             raise ValueError("mode 'r+' needs a region")
-        if region[0] % BLOCK or (region[1] - region[0]) % BLOCK:
-            raise ValueError(f"a region must begin and end at multiples of {BLOCK} times")
+        if region[0] % BLOCK or region[1] <= region[0]:
+            raise ValueError(f"a region must begin at multiples of {BLOCK} times")
+        path = store_name(root, level)
+        if region[1] % BLOCK and path_exists(spark, path):
+            rest = spark.read.parquet(path).where((F.col("time_block") == region[1] // BLOCK) & (F.col(time_index) >= region[1]))
+            if not rest.isEmpty():
+                raise ValueError(f"a region that ends within a block of {BLOCK} times must end with the store's times")
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(store_name(root, level))
     else:
         writer.mode("append" if mode == "a" else "overwrite").parquet(store_name(root, level))
@@ -155,7 +161,7 @@ def decode_time(value, units: str):
     """Numeric times by their units ("<unit> since <origin>") as timestamps; decimals below a microsecond go."""
     unit, _, origin = units.partition(" since ")
     per = {"seconds": 1_000_000, "minutes": 60_000_000, "hours": 3_600_000_000, "days": 86_400_000_000, "milliseconds": 1000, "microseconds": 1}
-    base = F.unix_micros(F.to_timestamp(F.lit(origin)))
+    base = F.unix_micros(parse_time(F.lit(origin)))
     micros = F.floor(value / 1000) if unit == "nanoseconds" else F.round(value * per[unit])
     return F.timestamp_micros(base + micros.cast("long"))
 

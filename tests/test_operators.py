@@ -244,3 +244,24 @@ def test_bilinear_reproduces_a_plane(spark):
     points = spark.createDataFrame([(0, 10.0, -15.0), (1, 359.0, 20.0)], "dst long, lon double, lat double")
     got = apply.bilinear(f, points, -60.0, 30.0, 5, 0.0, 45.0, 8).orderBy("dst").collect()
     assert [round(r["v"], 9) for r in got] == [4.5, 8.0]
+
+
+def test_faces_out_of_range_are_rejected(spark):
+    rows = [(0, [0, 1, 2]), (1, [0, 1, 12, 2]), (2, [0, 1]), (3, [0, 0, 1, 2, 0]), (4, [0, 1, 2, 1]), (5, [0, -1, 2, 3]), (6, [1, None, 2, 3]), (7, [0, 0, 1])]
+    df = spark.createDataFrame(rows, "face long, node_ids array<long>")
+    assert {r["face"]: r["node_ids"] for r in mesh.valid_faces(df, 12).collect()} == {0: [0, 1, 2], 3: [0, 1, 2]}
+
+
+def test_a_digest_heeds_repeated_points(spark):
+    one = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0)], "lon double, lat double")
+    other = spark.createDataFrame([(5.0, 6.0)] * 2, "lon double, lat double")
+    digests = [weights.grid_digest(x) for x in (one, one.orderBy("lon"), one.unionByName(one.limit(1)), one.limit(0).unionByName(other), other)]
+    assert digests[0] == digests[1] and len({digests[0], digests[2], digests[3]}) == 3
+
+
+def test_rounds_of_the_nearest_search_have_equal_plans(spark):
+    # A source in one corner: many rounds until the other side has found it.
+    source = spark.range(400).select(F.col("id").alias("src"), (F.col("id") % 20 / 10).alias("lon"), (F.floor(F.col("id") / 20) / 10).alias("lat"))
+    target = healpix.with_centres(healpix.cells(spark, 1), 1).withColumnRenamed("cell", "dst")
+    got = weights.nearest(source, target)
+    assert got.count() == 48 and got._jdf.queryExecution().optimizedPlan().toString().count("Join") == 0

@@ -166,3 +166,44 @@ def test_command_line(spark, root):
     points.select("src", F.lit(0).alias("time_idx"), F.lit(2.0).alias("v")).write.parquet(f"{root}/field")
     assert cli.main([f"{root}/field", f"{root}/grid", f"{root}/out", "--variables", "v", "--method", "nearest", "--max-level", "1", "-v"]) == 0
     assert store.read_level(spark, f"{root}/out", 0).where("v = 2").count() == 12
+
+
+def test_last_slice_is_short(spark, root):
+    own = spark.range(100).select(F.col("id").alias("time_idx"), F.lit(0).cast("long").alias("cell"), F.col("id").alias("v"))
+    store.init_store(own, root, 0)
+    for begin, end in store.slices(100, 48):
+        store.save_level(own, root, 0, "r+", region=(begin, end))
+    assert store.read_level(spark, root, 0).count() == 100
+    store.save_level(own.withColumn("v", F.lit(-1).cast("long")), root, 0, "r+", region=(96, 100))
+    got = store.read_level(spark, root, 0)
+    assert got.count() == 100 and got.where("v = -1").count() == 4
+    # Times after the region, in its last block, would be lost.
+    with pytest.raises(ValueError, match="end with"):
+        store.save_level(own, root, 0, "r+", region=(48, 60))
+
+
+def test_times_are_utc_in_any_session(spark):
+    from spherelake.functions import text
+
+    rows = [("2024-03-31T02:30:00", 1711852200), ("2024-03-31T02:30:00Z", 1711852200), ("2024-03-31 04:30:00+02:00", 1711852200), ("2024-03-31", 1711843200), (" 2024-10-27T01:30:00 ", 1729992600), ("junk", None)]
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = spark.createDataFrame(rows, "t string, s long")
+        got = df.select(F.unix_seconds(text.parse_time(F.col("t"))).alias("got"), "s", text.iso_utc(text.parse_time(F.col("t"))).alias("iso")).collect()
+        assert [r["got"] for r in got] == [r["s"] for r in got]
+        assert [r["iso"] for r in got[:4]] == ["2024-03-31T02:30:00Z"] * 3 + ["2024-03-31T00:00:00Z"]
+        begin, end = text.period(F.lit("202403"))
+        row = spark.range(1).select(F.unix_seconds(begin).alias("b"), F.unix_seconds(end).alias("e"), text.iso_utc(F.lit("2024-03-31 02:30:00").cast("timestamp_ntz")).alias("n")).first()
+        assert (row["b"], row["e"], row["n"]) == (1709251200, 1711929600, "2024-03-31T02:30:00Z")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_hrefs_as_listings_spell_them(spark):
+    from spherelake.sources import plan
+
+    html = """<a class=x data-href="no.grb" href='/a.grb'>a</a><A HREF=/b.grb>b</A><a title="1 > 0" href = "/c&amp;d&#x2e;grb">c</a><a href="">e</a><a name="q">q</a>
+        <!-- <a href="/gone.grb"> --><script>var s = '<a href="/js.grb">';</script><link href="/l.grb"><a href="/&lt;&#8364;&gt;.grb">z</a><area href="/area.grb"><a href="/f.txt">f</a>"""
+    df = spark.createDataFrame([(1, html), (2, None)], "i int, html string")
+    assert sorted(r["href"] for r in plan.hrefs(df, suffix=".grb").collect()) == sorted(["/a.grb", "/b.grb", "/c&d.grb", "/<€>.grb"])
+    assert {r["href"] for r in plan.hrefs(df).collect()} >= {"/f.txt"} and plan.hrefs(df.limit(0)).count() == 0
