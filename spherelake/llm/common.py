@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spherelake.session import ship
+from spherelake.session import cut, ship
 
 #: Texts are handled in blocks of so many characters, which bounds the arrays made from them.
 BLOCK_CHARS = 1_000_000
@@ -68,21 +67,6 @@ def planned_once(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
-
-    The folder is spark.checkpoint.dir.  Where that is unset, a temporary one is made on
-    one machine (tests), and a cluster raises: its executors share no such folder.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = sc.getConf().get("spark.checkpoint.dir")
-        if not folder and sc.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
-
-
 def fold(doc_id: Column) -> Column:
     """crc32 of the id's text modulo 5; 0 marks held-out rows.  A null id counts as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5, F.lit(0))
@@ -158,3 +142,6 @@ def _arrow_field(field) -> pa.Field:
     from pyspark.sql.pandas.types import to_arrow_type
 
     return pa.field(field.name, to_arrow_type(field.dataType))
+
+
+__all__ = ["BLOCK_CHARS", "ROW", "blocks", "cut", "fold", "map_texts", "planned_once", "release", "released", "schema_with", "small_batches", "table"]
