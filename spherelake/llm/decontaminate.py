@@ -6,9 +6,8 @@ as one window, whole: a window's SimHash must lie
 within RADIUS of the item's, and then the exact similarity of their multisets of
 5-word shingles (sum of least counts over sum of largest) must be at least 0.8.
 
-The items' fingerprints are indexed by RADIUS + 1 blocks of bits.  Two fingerprints
-that differ in at most RADIUS bits agree in one block at least, so looking up every
-block finds all items within the radius.  At a similarity of 0.8 the shingle vectors
+The items' fingerprints are indexed by blocks of bits (``HammingIndex``), which finds
+all items within the radius and compares a few percent of the pairs.  At a similarity of 0.8 the shingle vectors
 have a cosine of 0.89, so of 128 bits 19.4 differ on average (deviation 4.1); the
 radius of 33 is 3.3 deviations above.
 
@@ -32,8 +31,12 @@ from spherelake.llm.flat import Flat, alnum_table, look, lowered, mix, windows
 
 SHINGLE, SIMILARITY = 5, 0.8
 BITS, RADIUS = 128, 33
-#: Words of benchmark items that are indexed, and sent to executors, at a time.
-ITEM_WORDS = 2_000_000
+#: Parts of a fingerprint in the index, of two blocks each; pairs that are looked at, at a time.
+PARTS, MOST_PAIRS = 5, 2_000_000
+#: Words of benchmark items that are indexed, and sent to executors, at a time: some 10,000 items, of 12 KB each in the index.
+ITEM_WORDS = 500_000
+#: Items whose shingles are held counted.
+COUNTED = 2000
 
 
 def tokens(flat: Flat) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -59,19 +62,38 @@ def ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
 
+def masks(width: int, most: int) -> np.ndarray:
+    """All values of so many bits of which at most ``most`` are set."""
+    every = np.arange(1 << width, dtype=np.uint16)
+    return every[np.bitwise_count(every) <= most]
+
+
 class HammingIndex:
-    """All fingerprints within a radius, by blocks of which one must be equal."""
+    """All fingerprints within a radius, by the generalized pigeonhole principle.
+
+    The bits are cut into PARTS parts of two blocks each, and the radius + 1 is dealt out
+    over the parts, then over a part's blocks: two fingerprints within the radius differ
+    by less than its share in some part, and there by less than its share in some block.
+    Every indexed fingerprint is listed under all values that differ from its own block by
+    less than the block's share.  What a block's list gives is compared on the block's
+    part, and what is left in full.
+    """
 
     def __init__(self, prints: np.ndarray, radius: int = RADIUS):
         self.prints, self.radius = prints, radius
-        edges = np.linspace(0, BITS, radius + 2).astype(int)
-        self.blocks = [(int(a), int(b - a)) for a, b in zip(edges, edges[1:])]
-        self.lists = []
-        for block in self.blocks:
-            key = self.value(prints, *block)
-            order = np.argsort(key, kind="stable")
-            begin = np.searchsorted(key[order], np.arange((1 << block[1]) + 1))
-            self.lists.append((order, begin))
+        edges = np.linspace(0, BITS, 2 * PARTS + 1).astype(int).tolist()
+        self.parts = []
+        for k in range(PARTS):
+            share = (radius + 1) // PARTS + (k < (radius + 1) % PARTS)
+            a, b, c = edges[2 * k : 2 * k + 3]
+            lists = []
+            for at, width, own in ((a, b - a, share - share // 2), (b, c - b, share // 2)):
+                if own:
+                    near = masks(width, own - 1)
+                    key = (self.value(prints, at, width).astype(np.uint16)[:, None] ^ near).ravel()
+                    order = np.argsort(key, kind="stable")
+                    lists.append((at, width, key[order], (order // len(near)).astype(np.int32)))
+            self.parts.append((a, c - a, share - 1, self.value(prints, a, c - a), lists))
 
     @staticmethod
     def value(prints: np.ndarray, at: int, width: int) -> np.ndarray:
@@ -81,17 +103,33 @@ class HammingIndex:
             out = out | (prints[:, word + 1] << np.uint64(64 - shift))
         return (out & np.uint64((1 << width) - 1)).astype(np.int64)
 
+    def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, int]:
+        """Pairs to compare in full, as row * indexed + indexed row, each once; and how many list entries were read."""
+        pairs, read = [np.zeros(0, np.int64)], 0
+        for a, width, most, own, lists in self.parts:
+            asked = self.value(prints, a, width)
+            for at, size, keys, rows in lists:
+                key = self.value(prints, at, size).astype(np.uint16)
+                begin = np.searchsorted(keys, key)
+                n = np.searchsorted(keys, key, "right") - begin
+                i, j = np.repeat(np.arange(len(prints)), n), rows[ragged(begin, n)]
+                close = np.bitwise_count(asked[i] ^ own[j]) <= most
+                pairs.append(i[close] * len(self.prints) + j[close])
+                read += len(i)
+        return np.unique(np.concatenate(pairs)), read
+
     def query(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (row of ``prints``, indexed row) within the radius, each once."""
-        pairs = []
-        for block, (order, begin) in zip(self.blocks, self.lists):
-            key = self.value(prints, *block)
-            size = begin[key + 1] - begin[key]
-            pairs.append(np.repeat(np.arange(len(prints)), size) * len(self.prints) + order[ragged(begin[key], size)])
-        both = np.unique(np.concatenate(pairs))
-        i, j = both // len(self.prints), both % len(self.prints)
-        near = np.bitwise_count(prints[i] ^ self.prints[j]).sum(1) <= self.radius
-        return i[near], j[near]
+        out = [np.zeros((2, 0), np.int64)]
+        # So many at a time that what a list gives stays small.
+        step = max(16, MOST_PAIRS // max(1, len(self.prints)))
+        for a in range(0, len(prints), step):
+            both, _ = self.candidates(prints[a : a + step])
+            i, j = both // len(self.prints) + a, both % len(self.prints)
+            near = np.bitwise_count(prints[i] ^ self.prints[j]).sum(1) <= self.radius
+            out.append(np.stack([i[near], j[near]]))
+        i, j = np.concatenate(out, 1)
+        return i, j
 
 
 @dataclass
@@ -102,7 +140,7 @@ class Group:
     k: int
     items: np.ndarray
     shingles: np.ndarray
-    counters: list[Counter]
+    words: list[str]
     index: HammingIndex
 
 
@@ -134,8 +172,8 @@ def build(items: list[tuple[int, str]]) -> list[Group]:
         k = min(SHINGLE, n)
         shingles = [windows(h[at[i] : at[i + 1]], k) for i in own]
         prints = fingerprints(np.stack([bit_rows(s).sum(0, dtype=np.int32) for s in shingles]))
-        counters = [shingle_counter(word_strings(cp, begin, end, at[i], at[i + 1]), k) for i in own]
-        out.append(Group(n, k, np.array([items[i][0] for i in own]), np.unique(np.concatenate(shingles)), counters, HammingIndex(prints)))
+        words = [" ".join(word_strings(cp, begin, end, at[i], at[i + 1])) for i in own]
+        out.append(Group(n, k, np.array([items[i][0] for i in own]), np.unique(np.concatenate(shingles)), words, HammingIndex(prints)))
     return out
 
 
@@ -144,6 +182,7 @@ class Matcher:
 
     def __init__(self, groups: list[Group], least: float = SIMILARITY):
         self.groups, self.least = groups, least
+        self.counted: dict[tuple[int, int], Counter] = {}
         self.by_k: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for k in {g.k for g in groups}:
             known = np.unique(np.concatenate([g.shingles for g in groups if g.k == k]))
@@ -193,6 +232,15 @@ class Matcher:
                         self._windows(g, n, p[i : i + 4096], shingles, cp, begin, end, doc, best)
         return [(d, item, s, w - int(first[d]), n) for (d, item), (s, w, n) in sorted(best.items())]
 
+    def counter(self, g: Group, item: int) -> Counter:
+        """An item's shingles, counted when a window comes near it."""
+        got = self.counted.get((g.n, item))
+        if got is None:
+            if len(self.counted) >= COUNTED:
+                self.counted.clear()
+            got = self.counted[g.n, item] = shingle_counter(g.words[item].split(" "), g.k)
+        return got
+
     def _windows(self, g: Group, n: int, p, shingles, cp, begin, end, doc, best) -> None:
         if not len(p):
             return
@@ -208,7 +256,7 @@ class Matcher:
             q = int(p[x])
             if q not in counted:
                 counted[q] = shingle_counter(word_strings(cp, begin, end, q, q + n), g.k)
-            s = similarity(counted[q], g.counters[y])
+            s = similarity(counted[q], self.counter(g, y))
             key = int(doc[q]), int(g.items[y])
             if s >= self.least and s > best.get(key, (0.0, 0, 0))[0]:
                 best[key] = s, q, n
@@ -274,7 +322,11 @@ def _pass(docs: DataFrame, block: list[tuple[int, str]], doc: str, text: str, it
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", most: int = ITEM_WORDS) -> DataFrame:
-    """The rows of ``docs``, with all their columns, in which no benchmark item was found, whether or not it has an id."""
+    """The rows of ``docs``, with all their columns, in which no benchmark item was found, whether or not it has an id.
+
+    Null and empty texts hold no item and stay; whole texts are read.  Repeated rows all
+    stay or all go; empty tables leave everything as it is.
+    """
     out = docs
     for block in item_blocks(benchmark, item, text, most, nulls=True):
         groups = build(block)

@@ -18,6 +18,39 @@ def test_index_finds_all_within_the_radius():
     assert set(zip(i.tolist(), j.tolist())) == set(zip(*map(list, np.nonzero(far <= D.RADIUS))))
 
 
+def test_index_prunes():
+    rng = np.random.default_rng(4)
+    own, asked = (rng.integers(0, 2**64, (n, 2), dtype=np.uint64) for n in (500, 400))
+    pairs, read = D.HammingIndex(own).candidates(asked)
+    assert len(pairs) <= 0.03 * 500 * 400 and read <= 0.3 * 500 * 400
+    for radius in (0, 1, 4, 20, 40):
+        close = own[:200].copy()
+        for row in close:
+            for bit in rng.choice(D.BITS, radius, replace=False):
+                row[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+        i, j = D.HammingIndex(own, radius).query(close)
+        far = np.bitwise_count(close[:, None] ^ own[None]).sum(2)
+        assert set(zip(i.tolist(), j.tolist())) == set(zip(*map(list, np.nonzero(far <= radius)))) and len(i) >= 200
+
+
+def test_radius_holds_what_is_similar_enough(prose):
+    # Windows at the least similarity: words changed until one more would be too many.
+    rng, near, within = random.Random(6), 0, 0
+    for k in range(300):
+        own = prose(f"item{k}", rng.choice([30, 50, 80, 120])).lower().split()
+        changed, last = list(own), None
+        while D.similarity(D.shingle_counter(changed, 5), D.shingle_counter(own, 5)) >= D.SIMILARITY:
+            last = list(changed)
+            changed[rng.randrange(len(changed))] = f"other{rng.randrange(10**9)}"
+        if last == own:
+            continue
+        near += 1
+        groups = D.build([(1, " ".join(own)), (2, " ".join(last))])
+        a, b = groups[0].index.prints
+        within += int(np.bitwise_count(a ^ b).sum()) <= D.RADIUS
+    assert near > 200 and within >= 0.99 * near
+
+
 def brute(texts, items):
     split = lambda t: [w.lower() for w in re.findall(r"[^\W_]+", t)]
     out = {}
