@@ -36,7 +36,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of BASE and of its inverse; sizes are rounded up so that few tables are made."""
-    size = 1 << max(20, int(n - 1).bit_length())
+    size = 1 << max(18, int(n - 1).bit_length())
     return _powers(size)
 
 

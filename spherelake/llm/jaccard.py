@@ -52,6 +52,8 @@ MARGIN = 0.6
 #: Sets, and words, of a block of a group.
 TILE, TILE_WORDS = 1024, 300_000
 SALTS = 16
+#: Rows of a matrix that are worked on at once, and characters of texts: smaller than elsewhere, as tiles are held beside them.
+STRIP, CHARS = 128, 250_000
 
 
 def survival(threshold: float = NUMERATOR / DENOMINATOR, children: int = CHILDREN, depth: int = DEPTH) -> float:
@@ -198,7 +200,7 @@ def roots_of(adjacent: np.ndarray) -> np.ndarray:
     n = len(adjacent)
     root = np.arange(n)
     while True:
-        least = np.where(adjacent, root, n).min(1)
+        least = np.concatenate([np.where(adjacent[a : a + STRIP], root, n).min(1) for a in range(0, n, STRIP)])
         least = np.minimum(least, least[least])
         if (least == root).all():
             return root
@@ -272,15 +274,19 @@ def exact_links(owner: np.ndarray, value: np.ndarray, rows: int, left: np.ndarra
     both = np.zeros((len(left), len(right)), np.float32)
     order = np.argsort(column, kind="stable")
     column, row = column[order], row[order]
-    step = 2048
+    step = 512
     for c in range(0, width, step):
         a, b = np.searchsorted(column, [c, c + step])
         part = np.zeros((rows, min(step, width - c)), np.float32)
         part[row[a:b], column[a:b] - c] = 1
         both += part[left] @ part[right].T
     # J >= p / q  <=>  (p + q) * both >= p * (size + size): integers, exact in double precision.
-    total = size[left][:, None].astype(np.float64) + size[right][None, :]
-    return (both > 0) & ((NUMERATOR + DENOMINATOR) * both.astype(np.float64) >= NUMERATOR * total)
+    linked = np.zeros(both.shape, bool)
+    for a in range(0, len(left), STRIP):
+        part = both[a : a + STRIP].astype(np.float64)
+        total = size[left[a : a + STRIP]][:, None].astype(np.float64) + size[right][None, :]
+        linked[a : a + STRIP] = (part > 0) & ((NUMERATOR + DENOMINATOR) * part >= NUMERATOR * total)
+    return linked
 
 
 def _tiles(rows: DataFrame) -> DataFrame:
@@ -291,7 +297,7 @@ def _tiles(rows: DataFrame) -> DataFrame:
             ids, block, copies = (g.column(c).to_numpy() for c in ("id", "block", "copies"))
             i, j, blocks = g.column("i")[0].as_py(), g.column("j")[0].as_py(), g.column("blocks")[0].as_py()
             texts = g.column("text").to_pylist()
-            parts = [(a, shingles_of(texts[a:b])) for a, b in text_blocks(texts)]
+            parts = [(a, shingles_of(texts[a:b])) for a, b in text_blocks(texts, CHARS)]
             owner, value = np.concatenate([a + x for a, (x, _) in parts]), np.concatenate([x for _, (_, x) in parts])
             del texts, parts
             left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
@@ -299,7 +305,7 @@ def _tiles(rows: DataFrame) -> DataFrame:
             adjacent = np.eye(len(ids), dtype=bool)
             adjacent[np.ix_(left, right)] |= linked
             adjacent[np.ix_(right, left)] |= linked.T
-            links = adjacent.astype(np.float64) @ copies - copies
+            links = np.concatenate([adjacent[a : a + STRIP].astype(np.float64) @ copies for a in range(0, len(ids), STRIP)]) - copies
             # Rows are sorted by id, so the root is the least id too.
             root = roots_of(adjacent)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links.astype(np.int64)), pa.array(ids[root]), pa.array(np.full(len(ids), blocks == 1))], ["id", "links", "root", "whole"])
@@ -329,7 +335,7 @@ def join(docs: DataFrame, doc: str = "doc_id", text: str = "text", recall: float
     own = docs.select(F.col(f"`{doc}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), *row_key(doc, text))
     types = dict(own.dtypes)
     schema = f"doc_id {types['doc_id']}, r1 bigint, r2 bigint, s1 bigint, s2 bigint, n int, sketch binary"
-    embedded = cut(map_texts(own, ["doc_id", "r1", "r2"], "text", schema, lambda: embed))
+    embedded = cut(map_texts(own, ["doc_id", "r1", "r2"], "text", schema, lambda: embed, CHARS))
     rows = embedded.select("doc_id", "r1", "r2", "s1", "s2", "n")
     sets = cut(
         embedded.where("n > 0")
