@@ -20,19 +20,37 @@ from spherelake.llm.common import cut, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose language is accepted; the languages are learned from ``docs``.
+
+    Null texts and those without a letter go, and all go if nothing can be learned.
+    Repeated rows all stay or all go; whole texts are read; an empty table stays empty.
+    """
     return langid.accepted(docs, langid.fit(docs))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    made = lines.dedup_lines(docs).select(*docs.columns)
+    """All documents, with repeated chunks of lines cut from their texts and ``n_chars`` counted anew.
+
+    A null text stays null and one that is cut altogether becomes empty; rows that agree in
+    id and text get the same result.
+    """
+    made = lines.dedup_lines(docs, counts=False)
     return made.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else made
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies, the first by id; of repeated rows one.
+
+    Documents without a word are no copies of each other and all stay.
+    """
     return jaccard.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in which no benchmark item is found; items without an id count too.
+
+    Null and empty texts stay; whole texts are read; without items all documents stay.
+    """
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 

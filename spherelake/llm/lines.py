@@ -67,20 +67,21 @@ def repeated_chunks(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     return met.where(~place.eqNullSafe(F.col("first"))).select("_r1", "_r2", "_at", "_n")
 
 
-def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", counts: bool = True) -> DataFrame:
     """All rows and columns of ``docs`` with repeated chunks cut from the text; and n_lines, n_removed.
 
     ``n_lines`` counts the lines there were (long, 0 for a null text), ``n_removed`` those
     cut.  A null text stays null.  A text that is cut altogether becomes empty.  Rows that
     agree in id and text count as one document, and get the same result.  Lines end at
     \\n alone; an empty text is one empty line.  An empty table gives no rows.  Columns
-    of the input named n_lines or n_removed are replaced.
+    of the input named n_lines or n_removed, in either case, are replaced; without
+    ``counts`` the columns are those of ``docs``.
     """
     removed = repeated_chunks(docs, doc, text)
     # Equal rows give equal occurrences: each counts once.
     cuts = removed.groupBy("_r1", "_r2").agg(F.array_sort(F.collect_set(F.struct(F.col("_at").alias("at"), F.col("_n").alias("n")))).alias("_cuts"))
     # The row travels as a struct, so its columns clash with nothing.
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    columns = [c for c in docs.columns if not counts or c.lower() not in ("n_lines", "n_removed")]
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), *_key("_r", F.col(f"`{doc}`"), F.col(f"`{text}`")))
     body = F.col("_row").getField(text)
     rows = packed.join(cuts, ["_r1", "_r2"], "left").withColumn("_lines", F.when(body.isNotNull(), F.split(body, "\n", -1)))
@@ -91,4 +92,4 @@ def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Dat
     n_removed = F.coalesce(F.aggregate("_cuts", F.lit(0), lambda a, c: a + c["n"]), F.lit(0)).cast("long")
     n_lines = F.greatest(F.coalesce(F.size("_lines"), F.lit(0)), F.lit(0)).cast("long")
     out = [kept.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in columns]
-    return rows.select(*out, n_lines.alias("n_lines"), n_removed.alias("n_removed"))
+    return rows.select(*out, *([n_lines.alias("n_lines"), n_removed.alias("n_removed")] if counts else []))

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from spherelake.llm import graph, jaccard
 
@@ -108,3 +109,24 @@ def test_components(spark):
             root[max(x, y)] = min(x, y)
     assert got == {x: find(x) for x in root}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_hundred_thousand_copies(spark, prose):
+    text = prose("copied", 30)
+    near = text.replace(" ", "  ") + " tail"
+    df = spark.range(100_000).select(F.col("id").alias("doc_id"), F.lit(text).alias("text")).unionByName(spark.createDataFrame([(200_000, near), (200_001, prose("other", 30))], "doc_id long, text string"))
+    got = jaccard.classes(df)
+    rows = {(r["class_id"], r["n_links"]): r["n"] for r in got.groupBy("class_id", "n_links").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert rows == {(0, 100_000): 100_001, (200_001, 0): 1}
+
+
+def test_the_row_that_stays_does_not_depend_on_chance(spark, prose):
+    text = prose("kept", 40)
+    rows = [(1, text, "b", 2), (1, text, "a", 9), (1, text, None, 3), (2, text, "0", 0), (None, None, "x", 1), (None, None, "x", 1), (3, "", "y", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int")
+    want = None
+    for parts in (1, 3, 7):
+        got = sorted(tuple(r) for r in jaccard.keep_one(df.repartition(parts).orderBy(F.rand(parts))).selectExpr("coalesce(doc_id, -1)", "coalesce(text, '')", "source", "extra").collect())
+        want = want or got
+        assert got == want and len(got) == 4
+    assert jaccard.keep_one(df.limit(0)).count() == 0

@@ -60,6 +60,8 @@ def test_other_columns_and_empty_tables(spark):
     got = lines.dedup_lines(df)
     assert got.columns == ["doc_id", "text", "_r1", "_cuts", "n_lines", "n_removed"] and got.first()["n_lines"] == 2 and got.first()["_r1"] == 6
     assert lines.dedup_lines(df.limit(0)).count() == 0
+    upper = spark.createDataFrame([(1, "a\nb", 5)], "doc_id long, text string, N_LINES int")
+    assert lines.dedup_lines(upper).columns == ["doc_id", "text", "n_lines", "n_removed"]
 
 
 def test_no_python_and_hot_chunks(spark, prose):

@@ -1,4 +1,4 @@
-import importlib.util
+import importlib
 import os
 
 import pytest
@@ -57,16 +57,43 @@ def test_empty_tables(spark, folder, tmp_path):
     assert C.run(spark, f"file://{tmp_path}").count() == 0
 
 
+def test_repeated_rows_long_texts_and_names_that_clash(spark, prose, tmp_path):
+    root = f"file://{tmp_path}"
+    rows = [(i, prose(i, 120, ("en", "de")[i % 2]), ("en", "de")[i % 2], "s", 1, 7, 8.0, "t") for i in range(60)]
+    rows += [rows[5], rows[5], (70, prose("long", 60_000), "en", "s", 1, 7, 8.0, "t"), (71, None, None, None, None, None, None, None), (None, prose("nameless", 80), "en", "s", 1, 7, 8.0, "t")]
+    columns = "doc_id long, text string, lang string, source string, n_chars long, N_Lines int, score double, ids string"
+    spark.createDataFrame(rows, columns).write.parquet(f"{root}/documents.parquet")
+    spark.createDataFrame([(1, prose("bench", 40)), (None, None)], "item_id long, text string").write.parquet(f"{root}/benchmark.parquet")
+    docs = spark.read.parquet(f"{root}/documents.parquet")
+    for name, stage in C.STAGES:
+        docs = stage(spark, docs, root)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        if name == "language_id":
+            assert docs.count() == 64
+        if name == "line_dedup":
+            assert {r["N_Lines"] for r in docs.collect()} == {7}
+    kept = {r["doc_id"]: r for r in docs.collect()}
+    assert len(kept) == docs.count() == 62 and kept[70]["n_pieces"] > 60_000 and None in kept
+
+
 def test_registered():
     known = __spark_entry__.queries()
     assert known["pipeline"] is C.run
     assert {int(n[2:].split("_")[0]) for n in known if n.startswith("op")} == set(range(1, 11))
 
 
-def test_entry_works_without_these_parts(monkeypatch):
-    find = importlib.util.find_spec
-    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if name in ("spherelake.llm.queries", "corpus_pipeline") else find(name, *a))
+@pytest.mark.parametrize("error", [ModuleNotFoundError, ImportError])
+def test_entry_works_without_these_parts(monkeypatch, error):
+    real = importlib.import_module
+
+    def broken(name, *more):
+        if name in ("spherelake.llm.queries", "corpus_pipeline"):
+            raise error(name)
+        return real(name, *more)
+
+    monkeypatch.setattr(importlib, "import_module", broken)
     assert not any(n.startswith("op") or n == "pipeline" for n in __spark_entry__.queries())
+    assert len(__spark_entry__.queries()) > 140 and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
 def test_nothing_else_imports_these_parts():
