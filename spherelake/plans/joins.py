@@ -356,3 +356,10 @@ def r11(spark, d):
         meta = store.read_metadata(spark, root, level)
         rows.append((level, meta["crs"]["nside"], meta["crs"]["order"], meta.get("coarsened_from_level"), store.read_level(spark, root, level).count()))
     return spark.createDataFrame(rows, "level int, nside int, order_ string, coarsened_from int, n long")
+
+
+@query("R4_regrid_level7")
+def r4_level7(spark, d):
+    # Every day's field on 196,608 cells: the size at which cells a second mean something.  Brute force checks levels 1 to 3.
+    source = pyramid.Source("regular", lat_axis(spark), lon_axis(spark))
+    return pyramid.regrid(field(spark, d), source, 7, ["v"], ["t"], method="nearest").select("t", "cell", "v")
