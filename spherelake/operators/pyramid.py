@@ -8,6 +8,7 @@ those whose sizes are what the weights expect.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,8 @@ from spherelake.sources.readers import path_exists
 class Source:
     """A source grid: kind, and its axis tables (idx, deg) or points (src, y, x, lat, lon[, vlon, vlat]).
 
-    ``units`` are those of the coordinates: deg, rad, or auto, by their size.
+    ``units`` are those of the coordinates: deg, rad, or auto, by their size.  ``prepare``
+    brings data to the grid's points first, where they aren't there yet (spectral fields).
     """
 
     kind: str
@@ -35,6 +37,7 @@ class Source:
     points: DataFrame | None = None
     dims: tuple[str, ...] = ("y", "x")
     units: str = "deg"
+    prepare: Callable[[DataFrame], DataFrame] | None = None
 
     def __post_init__(self) -> None:
         if self.units == "deg":
@@ -209,7 +212,15 @@ def apply_dataset(tables: dict[str, DataFrame], prepared: Prepared, batch: list[
 
 def regrid(data: DataFrame, source: Source, level: int, variables: list[str], batch: list[str], method: str = "conservative", nest: bool = True, prepared: Prepared | None = None, policy: str = "renormalize") -> DataFrame:
     prepared = prepared or compute_weights(data.sparkSession, source, level, method, nest)
-    return apply_prepared(data, prepared, variables, batch, policy)
+    return apply_prepared(data.transform(source.prepare) if source.prepare else data, prepared, variables, batch, policy)
+
+
+def cached_faces(spark: SparkSession, root: str, source: Source) -> DataFrame:
+    """A source's polygons, kept as a table under a key of its points."""
+    path = f"{root.rstrip('/')}/faces_{weights.grid_digest(source.centres(), source.kind)}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        source.faces().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def regrid_unstructured(data: DataFrame, source: Source, level: int, variables: list[str], batch: list[str], **more) -> DataFrame:
@@ -239,7 +250,7 @@ def pyramid(
     return {level: df for level, df, _ in _levels(data, source, variables, batch, max_level, min_level, method, nest, how, fraction, lambda level, df, meta: cut(df) if nest and level > min_level else df)}
 
 
-def _levels(data, source, variables, batch, max_level, min_level, method, nest, how, fraction, keep):
+def _levels(data, source, variables, batch, max_level, min_level, method, nest, how, fraction, keep, regridder=None):
     """(level, table, metadata) from the finest level down; ``keep`` says what the next level is made from."""
     top = resolution_to_level(source.resolution()) if max_level is None else max_level
     if not 0 <= min_level <= top:
@@ -248,7 +259,7 @@ def _levels(data, source, variables, batch, max_level, min_level, method, nest,
     for level in range(top, min_level - 1, -1):
         if last is None or not nest:
             prepared = compute_weights(spark, source, level, method, nest)
-            made, meta = apply_prepared(data, prepared, variables, batch), level_metadata(prepared.meta)
+            made, meta = (regridder or regrid)(data, source, level, variables, batch, prepared=prepared), level_metadata(prepared.meta)
             about = prepared.meta
         else:
             made = coarsen.coarsen(last, variables, batch, level + 1, level, how, fraction, method, dense=True)
@@ -257,8 +268,11 @@ def _levels(data, source, variables, batch, max_level, min_level, method, nest,
         yield level, last, meta
 
 
-def write_pyramid(data: DataFrame, source: Source, variables: list[str], batch: list[str], root: str, max_level: int | None = None, min_level: int = 0, method: str = "conservative", nest: bool = True, how: str = "auto", fraction: float = 0.5, mode: str = "w", region: tuple[int, int] | None = None, time_index: str = "time_idx") -> list[int]:
-    """Write all levels with their metadata, each made from the one that was written before it."""
+def write_pyramid(data: DataFrame, source: Source, variables: list[str], batch: list[str], root: str, max_level: int | None = None, min_level: int = 0, method: str = "conservative", nest: bool = True, how: str = "auto", fraction: float = 0.5, mode: str = "w", region: tuple[int, int] | None = None, time_index: str = "time_idx", regridder: Callable[..., DataFrame] | None = None) -> list[int]:
+    """Write all levels with their metadata, each made from the one that was written before it.
+
+    ``regridder`` takes the place of ``regrid``, with its arguments.
+    """
 
     def keep(level: int, df: DataFrame, meta: dict) -> DataFrame:
         store.save_level(df, root, level, mode, region, time_index, metadata=meta)
@@ -266,7 +280,7 @@ def write_pyramid(data: DataFrame, source: Source, variables: list[str], batch:
         # Of a store that had times before, the next level is made from the data's own.
         return written if mode == "w" else written.join(df.select(*batch).distinct(), batch, "left_semi")
 
-    return [level for level, _, _ in _levels(data, source, variables, batch, max_level, min_level, method, nest, how, fraction, keep)]
+    return [level for level, _, _ in _levels(data, source, variables, batch, max_level, min_level, method, nest, how, fraction, keep, regridder)]
 
 
 latlon_pyramid = pyramid

@@ -6,6 +6,8 @@ smaller than its data, so only axes are compared, and data are filtered by them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,11 +28,14 @@ def latest(df: DataFrame, time: str, variable: str) -> DataFrame:
     return df.agg(F.max(time).alias("latest"), F.array_sort(F.collect_set(variable)).alias("variables"))
 
 
-def combine(parts: list[DataFrame], time: str = "time", order: list[str] | None = None) -> DataFrame:
-    """Files' tables as one: missing columns are NULL, and of repeated times the first file's rows stay."""
+def combine(parts: list[DataFrame], time: str = "time", order: list[str] | None = None, preprocess: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Files' tables as one: missing columns are NULL, and of repeated times the first file's rows stay.
+
+    ``preprocess`` is applied to each file's table before they are put together.
+    """
     out = None
     for i, p in enumerate(parts):
-        own = p.withColumn("_file", F.lit(i))
+        own = (p.transform(preprocess) if preprocess else p).withColumn("_file", F.lit(i))
         out = own if out is None else out.unionByName(own, allowMissingColumns=True)
     first = out.groupBy(time).agg(F.min("_file").alias("_first"))
     kept = out.join(first, time).where(F.col("_file") == F.col("_first")).drop("_file", "_first")

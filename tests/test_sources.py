@@ -207,3 +207,38 @@ def test_hrefs_as_listings_spell_them(spark):
     df = spark.createDataFrame([(1, html), (2, None)], "i int, html string")
     assert sorted(r["href"] for r in plan.hrefs(df, suffix=".grb").collect()) == sorted(["/a.grb", "/b.grb", "/c&d.grb", "/<€>.grb"])
     assert {r["href"] for r in plan.hrefs(df).collect()} >= {"/f.txt"} and plan.hrefs(df.limit(0)).count() == 0
+
+
+def test_jobs_over_variables_items_and_datasets(spark, root):
+    from spherelake.operators import pyramid
+    from spherelake.streaming import jobs
+
+    points = spark.range(72).select(F.col("id").alias("src"), F.floor(F.col("id") / 12).cast("int").alias("y"), (F.col("id") % 12).cast("int").alias("x"))
+    source = pyramid.Source.of(points.select("y", "x", (F.col("y") * 30.0 - 75).alias("lat"), (F.col("x") * 30.0).alias("lon")))
+    assert source.kind == "regular"
+    data = points.select("src", F.lit(0).cast("long").alias("time_idx"), F.col("src").cast("double").alias("a"))
+    tables = {"a": data, "b c": data.withColumnRenamed("a", "b c")}
+    more = {"max_level": 1, "method": "nearest"}
+    assert jobs.write_variables(spark, tables, source, ["time_idx"], root, **more) == {"a": "written", "b c": "written"}
+    assert jobs.write_variables(spark, tables, source, ["time_idx"], root, **more) == {"a": "skipped", "b c": "skipped"}
+    assert store.read_level(spark, f"{root}/b_c", 0).count() == 12 and store.read_metadata(spark, f"{root}/a", 0)["coarsened_from_level"] == 1
+    assert jobs.write_variables(spark, {"a": data}, source, ["time_idx"], root, rebuild=True, **more) == {"a": "written"}
+    # A regridder of the caller's own, and data that are brought to the points first.
+    source.prepare = lambda df: df.withColumn("a", F.col("a") + 1)
+    seen = []
+
+    def own(*arguments, **named):
+        seen.append(arguments[2])
+        return pyramid.regrid(*arguments, **named)
+
+    paths = jobs.item_pyramid(data, source, ["a"], ["time_idx"], f"{root}/staging", 7, regridder=own, **more)
+    assert sorted(paths) == [0, 1] and seen == [1] and spark.read.parquet(paths[1]).agg(F.min("a")).first()[0] >= 1
+    assert jobs.copy_datasets(spark, {"x / y!": paths[0]}, f"{root}/out") == {"x / y!": f"{root}/out/x_y"} and spark.read.parquet(f"{root}/out/x_y").count() == 12
+    faces = [pyramid.cached_faces(spark, f"{root}/cache", source) for _ in range(2)]
+    assert faces[0].count() == faces[1].count() == 72
+
+
+def test_combine_prepares_every_file(spark):
+    parts = [spark.createDataFrame([(t, float(i))], "time int, v double") for i, t in enumerate((1, 1, 2))]
+    got = merge.combine(parts, preprocess=lambda df: df.withColumn("v", F.col("v") * 10))
+    assert [tuple(r) for r in got.select("time", "v").collect()] == [(1, 0.0), (2, 20.0)]
