@@ -24,6 +24,9 @@ from spherelake.session import cut, ship
 
 METHODS = ("nearest", "conservative")
 _AROUND = [(a, b, c) for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)]
+_CUBE = ("ix", "iy", "iz")
+#: Points of an array in the nearest search, and sources up to which the arrays are broadcast (27 entries a source at most).
+PACK, SMALL = 1024, 10_000
 
 
 @dataclass(frozen=True)
@@ -43,13 +46,30 @@ class WeightsMeta:
 
 
 def _cube(h: float, *v: Column) -> list[Column]:
-    return [F.floor((c + 1.0) / h).cast("int").alias(n) for c, n in zip(v, ("ix", "iy", "iz"))]
+    return [F.floor((c + 1.0) / h).cast("int").alias(n) for c, n in zip(v, _CUBE)]
 
 
 def _around() -> Column:
     return F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for a, b, c in _AROUND]))
 
 
+def _spread(df: DataFrame, edge: float) -> DataFrame:
+    """Each row once for each of the 27 cubes around its own that the sphere may pass through."""
+    rest = [c for c in df.columns if c not in _CUBE]
+    out = df.select(*rest, *_CUBE, _around().alias("o")).select(*rest, *[(F.col(i) + F.col(f"o.{k}")).alias(i) for i, k in zip(_CUBE, "abc")])
+    middle = [(F.col(i) + 0.5) * edge - 1.0 for i in _CUBE]
+    return out.where(F.abs(F.sqrt(sum(m * m for m in middle)) - 1.0) <= edge * math.sqrt(3) / 2 + 1e-9)
+
+
+def _rounded(s: Column) -> Column:
+    return F.struct(F.round(s["far"], 12).alias("far"), s["src"].alias("src"))
+
+
+def _nearer(a: Column, b: Column) -> Column:
+    """The nearer one by the rounded distance, of equals the one with the least src; only close ones are rounded, which is slow."""
+    return F.when(b["far"] < a["far"] - 2e-12, b).when(b["far"] > a["far"] + 2e-12, a).otherwise(F.least(_rounded(a), _rounded(b)))
+
+
 def nearest(source: DataFrame, target: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(dst, src, w = 1): for each target point the nearest source point.
 
@@ -58,29 +78,50 @@ def nearest(source: DataFrame, target: DataFrame, src: str = "src", dst: str = "
     them; those that find nothing within a cube's edge look again with cubes of twice
     the edge, until all have found theirs.  What a round has found, and what is left, is
     cut from its lineage, so every round's plan is as small as the first one's.
+
+    Sources meet targets as arrays of some PACK points, and each array gives its nearest
+    one at once, so no pair becomes a row.  The sources are laid out over the cubes around
+    them, so that targets stay single rows; only where targets are far fewer, they are.
     """
     vector = lambda df, key: df.select(F.col(key).alias("id"), *[c.alias(n) for c, n in zip(xyz(F.col("lon"), F.col("lat")), "xyz")])
     sources, left = vector(source, src), vector(target, dst)
     n = sources.count()
     if n == 0:
         raise ValueError("no source points")
-    edge = min(2.0, 2.5 * math.sqrt(4 * math.pi / n))
+    edge = min(2.0, 1.3 * math.sqrt(4 * math.pi / n))
     done: DataFrame | None = None
     while True:
-        homes = sources.select(F.col("id").alias("src"), F.col("x").alias("sx"), F.col("y").alias("sy"), F.col("z").alias("sz"), *_cube(edge, F.col("x"), F.col("y"), F.col("z")))
-        asks = left.select("id", "x", "y", "z", *_cube(edge, F.col("x"), F.col("y"), F.col("z")), _around().alias("o"))
-        asks = asks.select("id", "x", "y", "z", *[(F.col(i) + F.col(f"o.{k}")).alias(i) for i, k in zip(("ix", "iy", "iz"), "abc")])
-        dot = F.round(F.col("x") * F.col("sx") + F.col("y") * F.col("sy") + F.col("z") * F.col("sz"), 12)
-        met = asks.join(homes, ["ix", "iy", "iz"]).select("id", F.struct((-dot).alias("far"), "src").alias("s")).groupBy("id").agg(F.min("s").alias("s"))
+        cube = _cube(edge, F.col("x"), F.col("y"), F.col("z"))
+        homes, asks = sources.select(F.struct(F.col("id").alias("src"), "x", "y", "z").alias("s"), *cube), left.select("id", "x", "y", "z", *cube)
+        if 27 * left.count() < n:
+            asks = _spread(asks, edge)
+        else:
+            homes = _spread(homes, edge)
+        counts = homes.groupBy(*_CUBE).count()
+        crowd = counts.where(F.col("count") > PACK).select(*_CUBE, F.ceil(F.col("count") / PACK).cast("int").alias("parts"))
+        at = [*_CUBE, "part"]
+        if crowd.isEmpty():
+            homes, asks = homes.withColumn("part", F.lit(0)), asks.withColumn("part", F.lit(0))
+        else:
+            # More than an array's worth: several arrays, which a target meets as so many rows, by any task.
+            crowd, parts = F.broadcast(crowd) if 27 * n <= PACK * SMALL else crowd, F.coalesce("parts", F.lit(1))
+            homes = homes.join(crowd, list(_CUBE), "left").select("s", *_CUBE, F.pmod(F.hash("s.src"), parts).alias("part"))
+            asks = asks.join(crowd, list(_CUBE), "left").select("id", "x", "y", "z", *_CUBE, F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+            # Few rows with much to compare: a number that is given isn't lowered for their size.
+            asks = asks.repartition(int(asks.sparkSession.conf.get("spark.sql.shuffle.partitions")), *at)
+        packs = homes.groupBy(*at).agg(F.collect_list("s").alias("pack"))
+        met = asks.join(F.broadcast(packs) if n <= SMALL else packs, at, "left")
+        far = lambda s: -(F.col("x") * s["x"] + F.col("y") * s["y"] + F.col("z") * s["z"])
+        met = met.select("id", F.transform("pack", lambda s: F.struct(far(s).alias("far"), s["src"].alias("src"))).alias("all"))
+        best = met.select("id", F.aggregate("all", F.get("all", F.lit(0)), _nearer, _rounded).alias("s")).groupBy("id").agg(F.min("s").alias("s"))
         # Within an edge (chord), nothing outside the 27 cubes is nearer, nor as near.
-        near = met.where(2.0 + 2.0 * F.col("s.far") < F.lit(edge * edge * (1 - 1e-9)) if edge < 2 else F.lit(True))
-        found = cut(near.select(F.col("id").alias("dst"), F.col("s.src").alias("src")))
+        near = F.col("s").isNotNull() & (2.0 + 2.0 * F.col("s.far") < F.lit(edge * edge * (1 - 1e-9) - 4e-12) if edge < 2 else F.lit(True))
+        seen = cut(best.select(F.col("id").alias("dst"), F.col("s.src").alias("src"), F.coalesce(near, F.lit(False)).alias("near")))
+        found, missed = seen.where("near").select("dst", "src"), seen.where("NOT near").select(F.col("dst").alias("id"))
         done = found if done is None else done.unionByName(found)
-        if edge >= 2:
-            break
-        left = cut(left.join(found.select(F.col("dst").alias("id")), "id", "left_anti"))
-        if left.isEmpty():
+        if edge >= 2 or missed.isEmpty():
             break
+        left = cut(left.join(missed, left["id"].eqNullSafe(missed["id"]), "left_semi"))
         edge = min(2.0, edge * 2)
     return done.withColumn("w", F.lit(1.0))
 

@@ -177,6 +177,44 @@ def test_nearest_against_brute_force(spark):
     assert [got[i] for i in range(300)] == brute_nearest(sources, targets)
 
 
+def shuffled(spark):
+    """Rows that all stages so far have written to shuffles."""
+    sc, jvm = spark.sparkContext._jsc.sc(), spark.sparkContext._jvm
+    sc.listenerBus().waitUntilEmpty(30_000)
+    stages = sc.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def scattered(spark, n):
+    lon, lat = F.col("id") * 137508 % 360000 / 1000.0 - 180.0, F.col("id") * 61803 % 180000 / 1000.0 - 90.0
+    return spark.range(0, n, 1, 4).select((n - 1 - F.col("id")).alias("dst"), lon.alias("lon"), lat.alias("lat"))
+
+
+def test_the_nearest_search_moves_targets_as_single_rows(spark):
+    n, source = 20_000, spark.range(288).select(F.col("id").alias("src"), (F.col("id") % 24 * 15.0).alias("lon"), (F.floor(F.col("id") / 24) * 15.0 - 82.5).alias("lat"))
+    before = shuffled(spark)
+    assert weights.nearest(source, scattered(spark, n)).count() == n
+    # Not 27 rows for each target, and no row for each pair.
+    assert shuffled(spark) - before < 2 * n
+
+
+@pytest.mark.parametrize(("pack", "small", "targets"), [(1024, 10_000, 300), (3, 10_000, 300), (3, 0, 300), (3, 0, 6), (1024, 0, 6)])
+def test_nearest_by_any_layout(spark, monkeypatch, pack, small, targets):
+    import random
+
+    monkeypatch.setattr(weights, "PACK", pack)
+    monkeypatch.setattr(weights, "SMALL", small)
+    rng = random.Random(5)
+    # A dense cluster, far points, places that occur twice, and targets just between two sources.
+    sources = [(rng.uniform(0, 20), rng.uniform(0, 20)) for _ in range(200)] + [(200.0, -80.0), (90.0, 89.9), (90.0, 89.9), (100.0, -40.0), (102.0, -40.0)]
+    points = [(101.0, -40.0), (90.0, 89.9), (-180.0, -90.0)] + [(rng.uniform(-180, 180), rng.uniform(-90, 90)) for _ in range(targets - 3)]
+    s = spark.createDataFrame([(i, *p) for i, p in enumerate(sources)] + [(900, None, 1.0), (901, float("nan"), 1.0)], "src long, lon double, lat double")
+    # A repeated row counts once; a target without a place has no source.
+    t = spark.createDataFrame([(i, *p) for i, p in enumerate(points)] + [(0, *points[0]), (1000, None, 1.0)], "dst long, lon double, lat double")
+    got = sorted(map(tuple, weights.nearest(s, t).select("dst", "src").collect()))
+    assert got == list(enumerate(brute_nearest(sources, points)))
+
+
 def test_conservative_keeps_integrals(spark):
     faces, target = mesh.regular_faces(lat12(spark), lon24(spark)), mesh.healpix_faces(spark, 1)
     w = weights.conservative(faces, target)
